@@ -28,3 +28,8 @@ def nan_to_null(col: Column) -> Column:
 def mean_defined(col: Column) -> Column:
     """Average over defined values; mixed infinities are undefined, as in pandas."""
     return nan_to_null(F.avg(col))
+
+
+def mean_if_all_defined(col: Column) -> Column:
+    """Average that one undefined value makes undefined, as in R."""
+    return F.when(F.count(col) == F.count("*"), nan_to_null(F.avg(col)))

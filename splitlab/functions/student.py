@@ -1,0 +1,84 @@
+"""Student-t probabilities and quantiles for small result tables (Arrow batches of rows)."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+_TINY = 1e-300
+
+
+def _beta_fraction(x: float, a: float, b: float) -> float:
+    """Continued fraction of the incomplete beta function (modified Lentz)."""
+    c, d = 1.0, 1.0 / (max(abs(1 - (a + b) * x / (a + 1)), _TINY))
+    value = d
+    for m in range(1, 500):
+        for step in (
+            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
+            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
+        ):
+            d = 1 + step * d
+            d = 1 / (d if abs(d) > _TINY else _TINY)
+            c = 1 + step / c
+            c = c if abs(c) > _TINY else _TINY
+            value *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return value
+
+
+def beta_cdf(x: float, a: float, b: float) -> float:
+    """Regularised incomplete beta function."""
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    front = math.exp(
+        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    )
+    if x < (a + 1) / (a + b + 2):
+        return front * _beta_fraction(x, a, b) / a
+    return 1 - front * _beta_fraction(1 - x, b, a) / b
+
+
+def two_sided_p(t: float, df: float) -> float:
+    return beta_cdf(df / (df + t * t), df / 2, 0.5)
+
+
+def t_quantile(p: float, df: float) -> float:
+    """The t with two-sided probability ``p`` beyond it, by bisection."""
+    low, high = 0.0, 1.0
+    while two_sided_p(high, df) > p:
+        high *= 2
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if two_sided_p(middle, df) > p else (low, middle)
+    return (low + high) / 2
+
+
+def _rowwise(fn, *columns: pd.Series) -> pd.Series:
+    rows = zip(*columns)
+    return pd.Series([np.nan if any(pd.isna(v) for v in row) else fn(*row) for row in rows], dtype=float)
+
+
+def _typed(fn, n: int):
+    fn.__annotations__ = {f"c{i}": pd.Series for i in range(n)} | {"return": pd.Series}
+    return F.pandas_udf(fn, "double")
+
+
+def t_pvalue(t: Column, df: Column) -> Column:
+    """Two-sided p-value."""
+    def run(c0, c1):
+        return _rowwise(two_sided_p, c0, c1)
+
+    return F.nanvl(_typed(run, 2)(t, df), F.lit(None).cast("double"))
+
+
+def t_critical(df: Column, level: float = 0.95) -> Column:
+    """Half width, in standard errors, of the two-sided confidence interval."""
+    def run(c0):
+        return _rowwise(lambda v: t_quantile(1 - level, v), c0)
+
+    return F.nanvl(_typed(run, 1)(df), F.lit(None).cast("double"))

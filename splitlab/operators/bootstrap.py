@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from splitlab.functions.arith import mean_defined, nan_to_null, safe_ratio
 from splitlab.functions.hashing import bucket_of_slot, group_of_bucket
-from splitlab.operators.groups import group_days, pivot_groups
+from splitlab.operators.groups import group_days, pivot_groups, quoted
 from splitlab.operators.metrics import UnitMatrix
 from splitlab.operators.quantiles import exact_quantiles
 from splitlab.sources.salts import SaltSet
@@ -20,10 +20,14 @@ DEFAULT_SCHEMES = [[1] * 20, [2] * 10, [5] * 4, [10] * 2]
 DAYS_PER_WEEK = 7
 
 
-def _sum_defined(cols: Sequence[Column]) -> Column:
-    """Sum of the columns that are not NULL, NULL when all are."""
-    total = sum((F.coalesce(c, F.lit(0.0)) for c in cols[1:]), F.coalesce(cols[0], F.lit(0.0)))
-    return F.when(F.coalesce(*cols).isNotNull(), total) if len(cols) > 1 else cols[0]
+def _sum_defined(names: Sequence[str]) -> str:
+    """SQL for the sum of the columns that are not NULL; NULL when all are."""
+    if not names:
+        return "CAST(NULL AS DOUBLE)"
+    if len(names) == 1:
+        return names[0]
+    total = " + ".join(f"coalesce({n}, 0D)" for n in names)
+    return f"CASE WHEN coalesce({', '.join(names)}) IS NOT NULL THEN {total} END"
 
 
 def scheme_days(
@@ -42,16 +46,13 @@ def scheme_days(
     buckets = range(len(weights))
     wide = pivot_groups(group_days(matrix, salts, bucket_of_slot(weights)), buckets, matrix.metrics)
 
-    def group_sum(metric: str, lookup: Sequence[int], group: int) -> Column:
-        members = [F.col(f"{metric}__{b}") for b in buckets if lookup[b] == group]
-        return _sum_defined(members) if members else F.lit(None).cast("double")
+    def group_sums(metric: str, lookup: Sequence[int]) -> str:
+        groups = [[quoted(f"{metric}__{b}") for b in buckets if lookup[b] == g] for g in range(max(lookup) + 1)]
+        return f"array({', '.join(map(_sum_defined, groups))}) AS {quoted(metric)}"
 
     per_scheme = F.array(*[
-        F.struct(
-            F.lit(i).alias("scheme"),
-            F.lit(max(lookup) + 1).alias("num_groups"),
-            *[F.array(*[group_sum(m, lookup, g) for g in range(max(lookup) + 1)]).alias(m) for m in matrix.metrics],
-        )
+        F.expr(f"struct({i} AS scheme, {max(lookup) + 1} AS num_groups, "
+               + ", ".join(group_sums(m, lookup) for m in matrix.metrics) + ")")
         for i, lookup in enumerate(lookups)
     ])
     return wide.select("salt_id", "day", F.inline(per_scheme))

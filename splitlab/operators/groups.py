@@ -49,6 +49,15 @@ def assign_units(units: DataFrame, salts: SaltSet, weights: Sequence[int], unit:
     return spread(ids, salts, 1).withColumn("bucket", assign_group(F.col("unit_id"), F.col("salt"), weights))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _cells(metrics: Sequence[str], i: int) -> str:
+    """Values of day ``i`` of a slice, under the names of the metrics."""
+    return ", ".join(f"v{j}_{i} AS {quoted(m)}" for j, m in enumerate(metrics))
+
+
 def group_days(matrix: UnitMatrix, salts: SaltSet, slots: Sequence[int], keep: Sequence[int] | None = None) -> DataFrame:
     """(salt_id, grp, n_units, day, metrics): sums per salt, group and day that has rows.
 
@@ -63,21 +72,17 @@ def group_days(matrix: UnitMatrix, salts: SaltSet, slots: Sequence[int], keep: S
         grouped = grouped.where(F.col("grp").isin(groups))
     keys = ["salt_id", "grp"] + (["slice"] if matrix.n_slices > 1 else [])
     sums = grouped.groupBy(*keys).agg(
-        F.sum("is_first").alias("n_units"), *[F.sum(c).alias(c) for c in matrix.value_columns]
+        F.sum("is_first").alias("n_units"), *[F.expr(f"sum({c}) AS {c}") for c in matrix.value_columns]
     )
     if matrix.n_slices > 1:
         whole = Window.partitionBy("salt_id", "grp")
         sums = sums.withColumn("n_units", F.sum("n_units").over(whole))
-        first_day = F.col("slice") * matrix.width
+        first_day = f"slice * {matrix.width} + "
     else:
-        first_day = F.lit(0)
+        first_day = ""
 
     per_day = F.array(*[
-        F.struct(
-            (first_day + i).cast("int").alias("offset"),
-            *[F.col(f"v{j}_{i}").alias(m) for j, m in enumerate(matrix.metrics)],
-        )
-        for i in range(matrix.width)
+        F.expr(f"struct(int({first_day}{i}) AS offset, {_cells(matrix.metrics, i)})") for i in range(matrix.width)
     ])
     long = sums.select("salt_id", "grp", "n_units", F.inline(per_day))
     return long.where(F.col(matrix.metrics[0]).isNotNull()).select(
@@ -93,9 +98,9 @@ def pivot_groups(days: DataFrame, groups: Sequence[int], metrics: Sequence[str],
     would regroup all units twice. Rows of a salt share a partition, so what follows needs no
     further shuffle.
     """
-    def value(metric: str, group: int):
-        v = F.col(metric) / F.col("n_units") if per_unit else F.col(metric)
-        return F.max(F.when(F.col("grp") == group, v)).alias(f"{metric}__{group}")
-
-    values = [value(m, g) for m in metrics for g in groups]
+    per = " / n_units" if per_unit else ""
+    values = [
+        F.expr(f"max(CASE WHEN grp = {g} THEN {quoted(m)}{per} END) AS {quoted(f'{m}__{g}')}")
+        for m in metrics for g in groups
+    ]
     return days.repartition("salt_id").groupBy("salt_id", "day").agg(*values)

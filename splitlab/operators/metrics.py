@@ -83,10 +83,9 @@ def unit_matrix(
         (offset % width).alias("pos"),
         *[F.col(m).cast("double").alias(f"m{j}") for j, m in enumerate(metrics)],
     )
+    # Dozens of like columns are built from text: one call each instead of one per operator.
     values = [
-        F.sum(F.when(F.col("pos") == i, F.col(f"m{j}"))).alias(f"v{j}_{i}")
-        for j in range(len(metrics))
-        for i in range(width)
+        F.expr(f"sum(CASE WHEN pos = {i} THEN m{j} END) AS v{j}_{i}") for j in range(len(metrics)) for i in range(width)
     ]
     if n_slices == 1:
         wide = placed.groupBy("unit_id").agg(*values).withColumns({"slice": F.lit(0), "is_first": F.lit(1)})
