@@ -57,7 +57,11 @@ def stored_salts(spark: SparkSession, sf_dir: str, n: int = TOP) -> SaltSet:
     return top_salts(materialize(losses(spark, sf_dir, before).select("salt", "pae")), n)
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+# Digits kept: amounts are summed in any order, ratios are close to 1.
+AMOUNT, RATIO, DENSITY = 6, 9, 5
+
+
+def rounded(df: DataFrame, digits: int = AMOUNT) -> DataFrame:
     """Doubles rounded, without negative zeros."""
     doubles = {c for c, t in df.dtypes if t == "double"}
     return df.select(*[
@@ -104,23 +108,23 @@ def unit_day_metrics(spark, sf_dir):
 
 def salt_loss(version: int) -> Query:
     def run(spark, sf_dir):
-        return rounded(losses(spark, sf_dir, config(), version).select("salt", "pae"))
+        return rounded(losses(spark, sf_dir, config(), version).select("salt", "pae"), RATIO)
 
     return run
 
 
 def random_salt_perf(spark, sf_dir):
     cfg = config()
-    return rounded(select.loss_report(matrix(spark, sf_dir, cfg), salts(spark, cfg), cfg, M))
+    return rounded(select.loss_report(matrix(spark, sf_dir, cfg), salts(spark, cfg), cfg, M), RATIO)
 
 
 def stored_salts_top_n(spark, sf_dir):
-    return rounded(stored_salts(spark, sf_dir).df)
+    return rounded(stored_salts(spark, sf_dir).df, RATIO)
 
 
 def smart_salt_perf(spark, sf_dir):
     cfg = config()
-    return rounded(select.loss_report(matrix(spark, sf_dir, cfg), stored_salts(spark, sf_dir), cfg, M))
+    return rounded(select.loss_report(matrix(spark, sf_dir, cfg), stored_salts(spark, sf_dir), cfg, M), RATIO)
 
 
 # Bootstrap.
@@ -134,26 +138,26 @@ def rdiffs(spark, sf_dir, candidates: SaltSet | None = None, **options) -> DataF
 def bootstrap_pairs(spark, sf_dir):
     cfg = config()
     days = bootstrap.scheme_days(matrix(spark, sf_dir, cfg), salts(spark, cfg))
-    return rounded(bootstrap.paired_days(days, M).drop("scheme"))
+    return rounded(bootstrap.paired_days(days, M).drop("scheme"), RATIO)
 
 
 def bootstrap_rdiff(spark, sf_dir):
-    return rounded(rdiffs(spark, sf_dir).drop("salt_id"))
+    return rounded(rdiffs(spark, sf_dir).drop("salt_id"), RATIO)
 
 
 def bootstrap_smart_salts(spark, sf_dir):
     stored = stored_salts(spark, sf_dir)
-    return rounded(rdiffs(spark, sf_dir, stored, weights=WEIGHTS, schemes=[GROUPS]).drop("salt_id"))
+    return rounded(rdiffs(spark, sf_dir, stored, weights=WEIGHTS, schemes=[GROUPS]).drop("salt_id"), RATIO)
 
 
 def bootstrap_ci(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_ci(materialize(rdiffs(spark, sf_dir)), M, digits=None))
+    return rounded(bootstrap.bootstrap_ci(materialize(rdiffs(spark, sf_dir)), M, digits=None), RATIO)
 
 
 def bootstrap_ci_trimmed(spark, sf_dir):
     """All pairs of groups, without relative differences of 5 and more."""
     table = materialize(rdiffs(spark, sf_dir))
-    return rounded(bootstrap.bootstrap_ci(table, M, pair=None, cut_on="m2", cut=5.0, digits=None))
+    return rounded(bootstrap.bootstrap_ci(table, M, pair=None, cut_on="m2", cut=5.0, digits=None), RATIO)
 
 
 def ci_comparison(spark, sf_dir):
@@ -163,11 +167,11 @@ def ci_comparison(spark, sf_dir):
         name: bootstrap.bootstrap_ci(materialize(rdiffs(spark, sf_dir, candidates)), M, digits=None)
         for name, candidates in variants.items()
     }
-    return rounded(bootstrap.compare_ci(tables, M))
+    return rounded(bootstrap.compare_ci(tables, M), RATIO)
 
 
 def bootstrap_density(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_density(materialize(rdiffs(spark, sf_dir)), "m2"), 5)
+    return rounded(bootstrap.bootstrap_density(materialize(rdiffs(spark, sf_dir)), "m2"), DENSITY)
 
 
 # Stationarity and selection.
@@ -246,7 +250,7 @@ def account(spark, sf_dir, kind: str, **options) -> accounts.Account:
 
 def report(kind: str, method: str, **options) -> Query:
     def run(spark, sf_dir):
-        return rounded(getattr(account(spark, sf_dir, kind, **options), method)(), 4)
+        return rounded(getattr(account(spark, sf_dir, kind, **options), method)())
 
     return run
 
@@ -262,18 +266,18 @@ def reservations_clean(spark, sf_dir):
 def nits_adjusted_revenue(spark, sf_dir):
     a = account(spark, sf_dir, "two_sided")
     measures = ["gross_bookings", "gross_commission", "nits_bookings", "nits_commission", "roomnights"]
-    return rounded(accounts.grouped_sums(a.revenue_rows(), a.dimensions, measures), 4)
+    return rounded(accounts.grouped_sums(a.revenue_rows(), a.dimensions, measures))
 
 
 def clicks_union_devices(spark, sf_dir):
     a = account(spark, sf_dir, "two_sided")
-    return rounded(accounts.grouped_sums(a.click_rows(), a.dimensions, ["clicks", "cost"]), 4)
+    return rounded(accounts.grouped_sums(a.click_rows(), a.dimensions, ["clicks", "cost"]))
 
 
 def click_cost_by_placement(spark, sf_dir):
     rows = account(spark, sf_dir, "placement").click_rows()
     keys = [accounts.UNIT, "distribution", "placement", accounts.DAY]
-    return rounded(accounts.grouped_sums(rows, keys, ["clicks", "cost", "length_of_stay"]), 4)
+    return rounded(accounts.grouped_sums(rows, keys, ["clicks", "cost", "length_of_stay"]))
 
 
 def cancellations_labelled(spark, sf_dir):
