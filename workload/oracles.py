@@ -159,10 +159,13 @@ DENSITY = [
 
 SERIES = [
     UNIT_DAY, salts_cte(), *group_days("gd", "salts", 10, THREE_GROUPS),
-    f"""ratios AS (SELECT c.salt, t.grp AS test, c.day, {ratio('t.m1', 'c.m1')} AS m1, {ratio('t.m2', 'c.m2')} AS m2
-        FROM gd c JOIN gd t USING (salt, day) WHERE c.grp = 2 AND t.grp IN (0, 1))""",
+    f"""ratios AS (SELECT c.salt, g.test, c.day, {ratio('t.m1', 'c.m1')} AS m1, {ratio('t.m2', 'c.m2')} AS m2
+        FROM gd c CROSS JOIN (VALUES (0), (1)) g(test)
+        LEFT JOIN gd t ON t.salt = c.salt AND t.day = c.day AND t.grp = g.test WHERE c.grp = 2)""",
     """long AS (SELECT salt, test, day, 'm1' AS metric, m1 AS x FROM ratios
         UNION ALL SELECT salt, test, day, 'm2', m2 FROM ratios)""",
+    """defined AS (SELECT salt, test, metric, COUNT(*) >= 8 AND COUNT(*) = COUNT(x) AND NOT BOOL_OR(isinf(x)) AS ok
+        FROM long GROUP BY ALL)""",
     """centred AS (SELECT salt, test, metric, day, x, x - AVG(x) OVER w AS e, COUNT(*) OVER w AS n,
         ROW_NUMBER() OVER (PARTITION BY salt, test, metric ORDER BY day) AS i
         FROM long WINDOW w AS (PARTITION BY salt, test, metric))""",
@@ -180,7 +183,7 @@ KPSS = [
 KPSS_P = """CASE WHEN kpss <= 0.347 THEN 0.10 WHEN kpss >= 0.739 THEN 0.01
     WHEN kpss < 0.463 THEN 0.10 - 0.05 * (kpss - 0.347) / (0.463 - 0.347)
     WHEN kpss < 0.574 THEN 0.05 - 0.025 * (kpss - 0.463) / (0.574 - 0.463)
-    ELSE 0.025 - 0.015 * (kpss - 0.574) / (0.739 - 0.574) END"""
+    WHEN kpss < 0.739 THEN 0.025 - 0.015 * (kpss - 0.574) / (0.739 - 0.574) END"""
 DICKEY_FULLER = [
     "steps AS (SELECT salt, test, metric, LAG(x) OVER s AS x0, x - LAG(x) OVER s AS dx FROM centred "
     "WINDOW s AS (PARTITION BY salt, test, metric ORDER BY day))",
@@ -439,8 +442,13 @@ ORACLES: dict[str, str] = {
             {r('a.eb_m2', 9)} AS random_m2, {r('b.eb_m2', 9)} AS smart_m2
         FROM random a JOIN best b USING (confidence_interval, num_groups, num_days)"""),
     "bootstrap_density": query([*BOOT, *DENSITY], f"SELECT num_days, num_groups, point, {rounded('x density', 5)} FROM density"),
-    "kpss_stat": query([*SERIES, *KPSS], f"SELECT test, metric, salt, {r('kpss')} AS kpss, {r(KPSS_P)} AS kpss_pvalue FROM kpss"),
-    "df_stat_lag0": query([*SERIES, *DICKEY_FULLER], f"SELECT test, metric, salt, {r('df_stat')} AS df_stat FROM df"),
+    "kpss_stat": query([*SERIES, *KPSS], f"""
+        SELECT test, metric, salt, {r('kpss')} AS kpss, {r(KPSS_P)} AS kpss_pvalue
+        FROM defined LEFT JOIN (SELECT k.* FROM kpss k JOIN defined USING (salt, test, metric) WHERE ok)
+            USING (salt, test, metric)"""),
+    "df_stat_lag0": query([*SERIES, *DICKEY_FULLER], f"""
+        SELECT test, metric, salt, {r('CASE WHEN ok THEN df_stat END')} AS df_stat
+        FROM defined LEFT JOIN df USING (salt, test, metric)"""),
     "reservations_clean": query(TWO_BOOKED, "SELECT * FROM booked"),
     "nits_adjusted_revenue": query(TWO_SIDED, f"""
         SELECT {TWO_KEYS}, {integers('gross_bookings roomnights')},
