@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from splitlab.functions.arith import mean_defined, nan_to_null, safe_ratio
 from splitlab.functions.hashing import bucket_of_slot, group_of_bucket
-from splitlab.operators.groups import group_days, pivot_groups, quoted
-from splitlab.operators.metrics import UnitMatrix
+from splitlab.operators.groups import group_days, quoted
+from splitlab.operators.metrics import UnitSeries
 from splitlab.operators.quantiles import exact_quantiles
 from splitlab.sources.salts import SaltSet
 
@@ -31,7 +31,7 @@ def _sum_defined(names: Sequence[str]) -> str:
 
 
 def scheme_days(
-    matrix: UnitMatrix, salts: SaltSet, weights: Sequence[int] = DEFAULT_WEIGHTS,
+    series: UnitSeries, salts: SaltSet, weights: Sequence[int] = DEFAULT_WEIGHTS,
     schemes: Sequence[Sequence[int]] = DEFAULT_SCHEMES,
 ) -> DataFrame:
     """(salt_id, scheme, num_groups, day, one array of group sums per metric).
@@ -44,7 +44,7 @@ def scheme_days(
     if short:
         raise ValueError(f"schemes {short} do not cover {len(weights)} buckets")
     buckets = range(len(weights))
-    wide = pivot_groups(group_days(matrix, salts, bucket_of_slot(weights)), buckets, matrix.metrics)
+    wide = group_days(series, salts, bucket_of_slot(weights))
 
     def group_sums(metric: str, lookup: Sequence[int]) -> str:
         groups = [[quoted(f"{metric}__{b}") for b in buckets if lookup[b] == g] for g in range(max(lookup) + 1)]
@@ -52,7 +52,7 @@ def scheme_days(
 
     per_scheme = F.array(*[
         F.expr(f"struct({i} AS scheme, {max(lookup) + 1} AS num_groups, "
-               + ", ".join(group_sums(m, lookup) for m in matrix.metrics) + ")")
+               + ", ".join(group_sums(m, lookup) for m in series.metrics) + ")")
         for i, lookup in enumerate(lookups)
     ])
     return wide.select("salt_id", "day", F.inline(per_scheme))
@@ -81,7 +81,7 @@ def paired_days(days: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 
 def bootstrap_rdiff(
-    matrix: UnitMatrix, salts: SaltSet, period: int, weights: Sequence[int] = DEFAULT_WEIGHTS,
+    series: UnitSeries, salts: SaltSet, period: int, weights: Sequence[int] = DEFAULT_WEIGHTS,
     schemes: Sequence[Sequence[int]] = DEFAULT_SCHEMES,
 ) -> DataFrame:
     """(salt_id, salt, paired_groups, num_days, num_groups, rdiff per metric).
@@ -90,8 +90,8 @@ def bootstrap_rdiff(
     that have data, for every salt and group scheme. Horizons are nested, so each is one
     conditional average of the same grouping rather than a copy of the rows.
     """
-    metrics = matrix.metrics
-    pairs = paired_days(scheme_days(matrix, salts, weights, schemes), metrics)
+    metrics = series.metrics
+    pairs = paired_days(scheme_days(series, salts, weights, schemes), metrics)
     horizons = [DAYS_PER_WEEK * w for w in range(1, period // DAYS_PER_WEEK + 1)]
     within = {h: F.col("day_rank") <= h for h in horizons}
     means = pairs.groupBy("salt_id", "scheme", "num_groups", "i", "j").agg(

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.functions.arith import nan_to_null, safe_ratio
-from splitlab.operators.groups import group_days, pivot_groups
-from splitlab.operators.metrics import UnitMatrix
+from splitlab.operators.groups import group_days
+from splitlab.operators.metrics import UnitSeries
 from splitlab.plans.config import SplitConfig
 from splitlab.plans.session import BROADCAST_ROWS
 from splitlab.sources.salts import SaltSet
@@ -19,9 +19,9 @@ def compared_groups(config: SplitConfig) -> list[int]:
     return sorted({*config.control, *config.test})
 
 
-def salt_days(matrix: UnitMatrix, salts: SaltSet, config: SplitConfig) -> DataFrame:
+def salt_days(series: UnitSeries, salts: SaltSet, config: SplitConfig) -> DataFrame:
     """Daily sums of the compared groups under every salt."""
-    return group_days(matrix, salts, config.slots, keep=compared_groups(config))
+    return group_days(series, salts, config.slots, keep=compared_groups(config))
 
 
 def compare(days: DataFrame, config: SplitConfig, metrics: Sequence[str], per_unit: bool) -> DataFrame:
@@ -30,18 +30,20 @@ def compare(days: DataFrame, config: SplitConfig, metrics: Sequence[str], per_un
     Several control groups give one row per control and test group; a test group without rows
     on the day has NULL ratios.
     """
-    wide = pivot_groups(days, compared_groups(config), metrics, per_unit)
-    present = f"{metrics[0]}__{{}}"
+    def value(metric: str, group: int) -> Column:
+        v = F.col(f"{metric}__{group}")
+        return v / F.col(f"n__{group}") if per_unit else v
+
     pairs = F.array(*[
         F.struct(
             F.lit(c).alias("control"), F.lit(t).alias("test"),
-            F.col(present.format(c)).isNotNull().alias("has_control"),
-            *[safe_ratio(F.col(f"{m}__{t}"), F.col(f"{m}__{c}")).alias(m) for m in metrics],
+            F.col(f"{metrics[0]}__{c}").isNotNull().alias("has_control"),
+            *[safe_ratio(value(m, t), value(m, c)).alias(m) for m in metrics],
         )
         for c in config.control
         for t in config.test
     ])
-    return wide.select("salt_id", "day", F.inline(pairs)).where("has_control").drop("has_control")
+    return days.select("salt_id", "day", F.inline(pairs)).where("has_control").drop("has_control")
 
 
 def _absolute(m: str) -> Column:

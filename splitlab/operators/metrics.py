@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from datetime import date
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splitlab.functions.dates import as_date
-
-# Aggregates of at most this many metric columns keep the plan inside whole-stage codegen.
-MAX_VALUE_COLUMNS = 80
+from splitlab.functions.dates import as_date, in_days
+from splitlab.plans.session import materialize
 
 
 def outer_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -44,52 +42,40 @@ def unit_day_metrics(
 
 
 @dataclass(frozen=True)
-class UnitMatrix:
-    """Days turned into columns: one row per unit and slice of ``width`` days.
+class UnitSeries:
+    """One row per unit: (unit_id, days), with an array of (offset, v0, v1, ...) per unit.
 
-    ``df`` holds (unit_id, slice, is_first, v{j}_{i}) with metric j on day ``slice * width + i``;
-    NULL means the unit has no row on that day. ``is_first`` is 1 on one row per unit.
+    ``offset`` counts days from ``start``, ``v{j}`` is the value of metric j; days without a row
+    are left out. ``n_units`` is the number of rows where it is known.
     """
 
     df: DataFrame
     metrics: tuple[str, ...]
     start: date
-    width: int
-    n_slices: int
-
-    @property
-    def value_columns(self) -> list[str]:
-        return [f"v{j}_{i}" for j in range(len(self.metrics)) for i in range(self.width)]
+    period: int
+    n_units: int | None = None
 
 
-def unit_matrix(
+def unit_series(
     unit_days: DataFrame, metrics: Sequence[str], start: date | str, period: int,
     unit: str = "unit_id", day: str = "day",
-) -> UnitMatrix:
-    """Pivot the ``period`` days from ``start`` on, without a data-dependent pivot job.
+) -> UnitSeries:
+    """Gather the ``period`` days from ``start`` on per unit; expects one row per unit and day.
 
-    Regrouping every unit under every salt then handles one row per unit instead of one per
-    unit and day. Long periods become several rows per unit, so rows stay within codegen limits.
+    Units are hashed and regrouped under every salt, so their days travel with them as one row.
+    A unit holds at most ``period`` entries, whatever its share of the raw data.
     """
     start = as_date(start)
-    most = max(1, MAX_VALUE_COLUMNS // len(metrics))
-    n_slices = -(-period // most)
-    width = -(-period // n_slices)
-
-    offset = F.datediff(F.col(day), F.lit(start))
-    placed = unit_days.where((offset >= 0) & (offset < period)).select(
-        F.col(unit).cast("bigint").alias("unit_id"),
-        (offset / width).cast("int").alias("slice"),
-        (offset % width).alias("pos"),
-        *[F.col(m).cast("double").alias(f"m{j}") for j, m in enumerate(metrics)],
+    inside = unit_days.where(in_days(F.col(day), start, start + timedelta(days=period - 1)))
+    entry = F.struct(
+        F.datediff(F.col(day), F.lit(start)).alias("offset"),
+        *[F.col(m).cast("double").alias(f"v{j}") for j, m in enumerate(metrics)],
     )
-    # Dozens of like columns are built from text: one call each instead of one per operator.
-    values = [
-        F.expr(f"sum(CASE WHEN pos = {i} THEN m{j} END) AS v{j}_{i}") for j in range(len(metrics)) for i in range(width)
-    ]
-    if n_slices == 1:
-        wide = placed.groupBy("unit_id").agg(*values).withColumns({"slice": F.lit(0), "is_first": F.lit(1)})
-    else:
-        first = F.row_number().over(Window.partitionBy("unit_id").orderBy("slice")) == 1
-        wide = placed.groupBy("unit_id", "slice").agg(*values).withColumn("is_first", first.cast("int"))
-    return UnitMatrix(wide, tuple(metrics), start, width, n_slices)
+    gathered = inside.groupBy(F.col(unit).cast("bigint").alias("unit_id")).agg(F.collect_list(entry).alias("days"))
+    return UnitSeries(gathered, tuple(metrics), start, period)
+
+
+def prepared(series: UnitSeries) -> UnitSeries:
+    """The same series, materialised and counted: read by many jobs, spread by its size."""
+    df = materialize(series.df)
+    return replace(series, df=df, n_units=df.count())

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from splitlab.operators.loss import salt_days, salt_loss
-from splitlab.operators.metrics import UnitMatrix
+from splitlab.operators.metrics import UnitSeries
 from splitlab.operators.stationarity import stationarity
 from splitlab.plans.config import SplitConfig
 from splitlab.plans.session import materialize
@@ -26,12 +26,12 @@ class SaltWalk:
     """
 
     def __init__(
-        self, matrix: UnitMatrix, salts: SaltSet, config: SplitConfig, version: int = 1,
+        self, series: UnitSeries, salts: SaltSet, config: SplitConfig, version: int = 1,
         batch_size: int = BATCH_SIZE, test_remainder: bool = False,
     ):
-        self.config, self.metrics, self.batch_size = config, matrix.metrics, batch_size
-        self.days = materialize(salt_days(matrix, salts, config))
-        losses = salt_loss(self.days, salts, config, matrix.metrics, version)
+        self.config, self.metrics, self.batch_size = config, series.metrics, batch_size
+        self.days = materialize(salt_days(series, salts, config))
+        losses = salt_loss(self.days, salts, config, series.metrics, version)
         # One rank over the salts (at most 100,000 short rows), not over data.
         index = F.row_number().over(Window.orderBy(*loss_order())).cast("bigint") - 1
         self.ranked = materialize(losses.withColumn("index", index))
@@ -81,7 +81,7 @@ def smart_salt_table(walk: SaltWalk, min_salts: int = MIN_SALTS, cumulative: boo
     return walk.best().limit(0) if kept is None else kept
 
 
-def loss_report(matrix: UnitMatrix, salts: SaltSet, config: SplitConfig, metrics: Sequence[str], version: int = 1) -> DataFrame:
+def loss_report(series: UnitSeries, salts: SaltSet, config: SplitConfig, metrics: Sequence[str], version: int = 1) -> DataFrame:
     """(salt, pae) ordered by loss: the performance report of random or of stored salts."""
-    losses = salt_loss(salt_days(matrix, salts, config), salts, config, metrics, version)
+    losses = salt_loss(salt_days(series, salts, config), salts, config, metrics, version)
     return losses.select("salt", "pae").orderBy(*loss_order())

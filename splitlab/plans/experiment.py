@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
 
@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from splitlab.operators.accounts import DAY, UNIT, Account
 from splitlab.operators.bootstrap import DEFAULT_SCHEMES, DEFAULT_WEIGHTS, bootstrap_rdiff
 from splitlab.operators.cuped import cuped_metrics
-from splitlab.operators.metrics import UnitMatrix, unit_day_metrics, unit_matrix
+from splitlab.operators.metrics import UnitSeries, prepared, unit_day_metrics, unit_series
 from splitlab.operators.select import SaltWalk, loss_report, smart_salt, smart_salt_table
 from splitlab.plans.config import SplitConfig
-from splitlab.plans.session import materialize
 from splitlab.sources.salts import SaltSet, generate_salts, read_salts
 
 PERCENT = 100
@@ -49,8 +48,8 @@ class Metric:
 class Experiment:
     """Salt selection and bootstrap for one configuration.
 
-    ``unit_days`` holds one row per unit and day with the metrics. It is turned into one row per
-    unit once, and that table is materialised, since every method regroups it.
+    ``unit_days`` holds the metrics by unit and day. It is turned into one row per unit once, and
+    that table is materialised and counted, since every method regroups it.
     """
 
     def __init__(
@@ -79,16 +78,16 @@ class Experiment:
         return cls(config, report.get_metrics(metrics), metrics)
 
     @cached_property
-    def matrix(self) -> UnitMatrix:
-        wide = unit_matrix(self.unit_days, self.metrics, self.config.start_date, self.config.period, self._unit, self._day)
-        return replace(wide, df=materialize(wide.df))
+    def series(self) -> UnitSeries:
+        config = self.config
+        return prepared(unit_series(self.unit_days, self.metrics, config.start_date, config.period, self._unit, self._day))
 
     @cached_property
     def salts(self) -> SaltSet:
         return generate_salts(self.spark, self.config.base_salt, self.config.run_date, self.config.ntrials)
 
     def walk(self, version: int = 1, **options) -> SaltWalk:
-        return SaltWalk(self.matrix, self.salts, self.config, version, batch_size=self.batch_size, **options)
+        return SaltWalk(self.series, self.salts, self.config, version, batch_size=self.batch_size, **options)
 
     def get_smart_salt(self) -> tuple[str, float]:
         """The best stationary salt and its loss in percent."""
@@ -106,7 +105,7 @@ class Experiment:
         return self.get_smart_salt_table(3)
 
     def get_bootstrapped(self, exp_weights: Sequence[int] = DEFAULT_WEIGHTS) -> DataFrame:
-        return bootstrap_rdiff(self.matrix, self.salts, self.config.period, exp_weights, DEFAULT_SCHEMES).drop("salt_id")
+        return bootstrap_rdiff(self.series, self.salts, self.config.period, exp_weights, DEFAULT_SCHEMES).drop("salt_id")
 
     def get_bootstrapped_smart_salt_performance(
         self, exp_weights: Sequence[int], source_table_name: str, number_of_salts: int
@@ -114,11 +113,11 @@ class Experiment:
         """Bootstrap of the best stored salts under the experiment's own groups."""
         stored = read_salts(self.spark, source_table_name, number_of_salts)
         schemes = [self.config.exp_groups]
-        return bootstrap_rdiff(self.matrix, stored, self.config.period, exp_weights, schemes).drop("salt_id")
+        return bootstrap_rdiff(self.series, stored, self.config.period, exp_weights, schemes).drop("salt_id")
 
     def get_smart_salt_performance(self, source_table_name: str, number_of_salts: int = 100) -> DataFrame:
         stored = read_salts(self.spark, source_table_name, number_of_salts)
-        return loss_report(self.matrix, stored, self.config, self.metrics)
+        return loss_report(self.series, stored, self.config, self.metrics)
 
     def get_random_salt_performance(self) -> DataFrame:
-        return loss_report(self.matrix, self.salts, self.config, self.metrics)
+        return loss_report(self.series, self.salts, self.config, self.metrics)

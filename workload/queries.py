@@ -11,7 +11,7 @@ from splitlab.functions import labels
 from splitlab.functions.dates import calendar
 from splitlab.functions.hashing import salt_text
 from splitlab.operators import accounts, analysis, bootstrap, cuped, loss, metrics, select, stationarity
-from splitlab.operators.groups import assign_units, group_days
+from splitlab.operators.groups import assign_units, group_days, group_rows
 from splitlab.plans.config import SplitConfig
 from splitlab.plans.session import materialize
 from splitlab.sources.salts import SaltSet, generate_salts, loss_order, top_salts
@@ -37,8 +37,8 @@ def unit_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.unit_day_metrics([events], M)
 
 
-def matrix(spark: SparkSession, sf_dir: str, cfg: SplitConfig) -> metrics.UnitMatrix:
-    return metrics.unit_matrix(unit_days(spark, sf_dir), M, cfg.start_date, cfg.period)
+def series_of(spark: SparkSession, sf_dir: str, cfg: SplitConfig) -> metrics.UnitSeries:
+    return metrics.unit_series(unit_days(spark, sf_dir), M, cfg.start_date, cfg.period)
 
 
 def salts(spark: SparkSession, cfg: SplitConfig) -> SaltSet:
@@ -47,7 +47,7 @@ def salts(spark: SparkSession, cfg: SplitConfig) -> SaltSet:
 
 def losses(spark: SparkSession, sf_dir: str, cfg: SplitConfig, version: int = 1) -> DataFrame:
     candidates = salts(spark, cfg)
-    days = loss.salt_days(matrix(spark, sf_dir, cfg), candidates, cfg)
+    days = loss.salt_days(series_of(spark, sf_dir, cfg), candidates, cfg)
     return loss.salt_loss(days, candidates, cfg, M, version)
 
 
@@ -115,7 +115,7 @@ def salt_loss(version: int) -> Query:
 
 def random_salt_perf(spark, sf_dir):
     cfg = config()
-    return rounded(select.loss_report(matrix(spark, sf_dir, cfg), salts(spark, cfg), cfg, M), RATIO)
+    return rounded(select.loss_report(series_of(spark, sf_dir, cfg), salts(spark, cfg), cfg, M), RATIO)
 
 
 def stored_salts_top_n(spark, sf_dir):
@@ -124,7 +124,7 @@ def stored_salts_top_n(spark, sf_dir):
 
 def smart_salt_perf(spark, sf_dir):
     cfg = config()
-    return rounded(select.loss_report(matrix(spark, sf_dir, cfg), stored_salts(spark, sf_dir), cfg, M), RATIO)
+    return rounded(select.loss_report(series_of(spark, sf_dir, cfg), stored_salts(spark, sf_dir), cfg, M), RATIO)
 
 
 # Bootstrap.
@@ -132,12 +132,12 @@ def smart_salt_perf(spark, sf_dir):
 
 def rdiffs(spark, sf_dir, candidates: SaltSet | None = None, **options) -> DataFrame:
     cfg = config()
-    return bootstrap.bootstrap_rdiff(matrix(spark, sf_dir, cfg), candidates or salts(spark, cfg), PERIOD, **options)
+    return bootstrap.bootstrap_rdiff(series_of(spark, sf_dir, cfg), candidates or salts(spark, cfg), PERIOD, **options)
 
 
 def bootstrap_pairs(spark, sf_dir):
     cfg = config()
-    days = bootstrap.scheme_days(matrix(spark, sf_dir, cfg), salts(spark, cfg))
+    days = bootstrap.scheme_days(series_of(spark, sf_dir, cfg), salts(spark, cfg))
     return rounded(bootstrap.paired_days(days, M).drop("scheme"), RATIO)
 
 
@@ -180,7 +180,7 @@ def bootstrap_density(spark, sf_dir):
 def series(spark, sf_dir, cfg: SplitConfig | None = None) -> DataFrame:
     cfg = cfg or config()
     candidates = salts(spark, cfg)
-    named = stationarity.ratio_series(loss.salt_days(matrix(spark, sf_dir, cfg), candidates, cfg), cfg, M)
+    named = stationarity.ratio_series(loss.salt_days(series_of(spark, sf_dir, cfg), candidates, cfg), cfg, M)
     return named.join(F.broadcast(candidates.df), "salt_id").drop("salt_id")
 
 
@@ -199,14 +199,14 @@ def adf_aic(spark, sf_dir):
 def salt_stationarity(spark, sf_dir):
     cfg = config()
     candidates = salts(spark, cfg)
-    days = loss.salt_days(matrix(spark, sf_dir, cfg), candidates, cfg)
+    days = loss.salt_days(series_of(spark, sf_dir, cfg), candidates, cfg)
     tested = stationarity.stationarity(days, cfg, M)
     return candidates.df.join(F.broadcast(tested), "salt_id", "left").drop("salt_id")
 
 
 def walk(spark, sf_dir, version: int = 1) -> select.SaltWalk:
     cfg = config(WALK_TRIALS)
-    return select.SaltWalk(matrix(spark, sf_dir, cfg), salts(spark, cfg), cfg, version)
+    return select.SaltWalk(series_of(spark, sf_dir, cfg), salts(spark, cfg), cfg, version)
 
 
 def smart_salt(spark, sf_dir):
@@ -306,7 +306,7 @@ def dashboard(spark, sf_dir, numbered: bool) -> DataFrame:
     """Daily value per unit of two control and two test groups, before and after the start."""
     cfg = config()
     one_salt = SaltSet(spark.range(1).select(F.col("id").alias("salt_id"), F.lit(DASHBOARD_SALT).alias("salt")), 1)
-    days = group_days(matrix(spark, sf_dir, cfg), one_salt, [0, 1, 2, 3])
+    days = group_rows(group_days(series_of(spark, sf_dir, cfg), one_salt, [0, 1, 2, 3]), range(4), M)
     role = F.when(F.col("grp") % 2 == 0, "control").otherwise("test")
     number = (F.floor(F.col("grp") / 2) + 1).cast("int")
     phase = F.when(F.col("day") < EXPERIMENT_START, "pre").otherwise("post")
