@@ -85,12 +85,16 @@ def _add_units(sums: np.ndarray, salts: Sequence[bytes], batch: pa.RecordBatch,
     period, n_metrics, n_groups = shape
     texts = [str(u).encode() for u in batch.column("unit_id").to_pylist()]
     values = _day_matrix(batch, period, n_metrics)
+    finite = np.isfinite(values).all()
     step = max(1, MEMBERSHIP // max(1, n_groups * len(texts)))
     for at in range(0, len(salts), step):
         groups = np.stack([lookup[_slots(texts, s, len(lookup))] for s in salts[at : at + step]])
-        member = (groups[:, None, :] == np.arange(n_groups)[None, :, None]).astype(float)
-        added = member.reshape(-1, len(texts)) @ values
-        sums[at : at + step] += added.reshape(len(groups), n_groups, -1)
+        member = groups[:, None, :] == np.arange(n_groups)[None, :, None]
+        if finite:
+            added = (member.reshape(-1, len(texts)).astype(float) @ values).reshape(len(groups), n_groups, -1)
+        else:  # in a product an infinite value would reach the groups it is not in
+            added = np.array([[values[m].sum(axis=0) for m in of_salt] for of_salt in member])
+        sums[at : at + step] += added
 
 
 def _result(ids: Sequence[int], sums: np.ndarray, shape: tuple) -> pa.RecordBatch:
