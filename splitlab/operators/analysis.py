@@ -2,7 +2,8 @@
 
 Input series have one row per day and group: (date, group, group_num, logic,
 test_control_group, value). ``x`` stands for control, ``y`` for test. Days are paired by date,
-and by ``group_num`` too when every row has one.
+and by ``group_num`` too when every row has one. Such a table is small but costly to derive and
+is read several times, so pass it materialised.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.functions.arith import safe_ratio
@@ -23,18 +23,23 @@ def cuped_adjust(
     """Left-join the previous values and add ``cuped_{m} = m - theta * prev_{m}``.
 
     Missing values count as 0. theta is cov(previous, current) / var(previous) over all units; it
-    comes from one aggregate and enters the rows as a scalar, so no row is shuffled for it.
+    comes from one aggregate for all metrics and enters the rows as a scalar, without a join.
     ``centre`` uses the previous value minus its mean, which leaves the mean of the metric alone.
     """
     before = previous.select(*keys, *[F.col(m).alias(f"prev_{m}") for m in metrics])
     filled = [c for m in metrics for c in (m, f"prev_{m}")]
     joined = current.select(*keys, *metrics).join(before, list(keys), "left").na.fill(0, subset=filled)
-    for m in metrics:
-        prev = F.col(f"prev_{m}")
-        theta = joined.select(F.coalesce(safe_ratio(F.covar_samp(prev, F.col(m)), F.var_samp(prev)), F.lit(0.0))).scalar()
-        shift = joined.select(F.avg(prev)).scalar() if centre else F.lit(0.0)
-        joined = joined.withColumn(f"cuped_{m}", F.col(m) - theta * (prev - shift))
-    return joined
+    def theta(m: str) -> Column:
+        return F.coalesce(safe_ratio(F.covar_samp(f"prev_{m}", m), F.var_samp(f"prev_{m}")), F.lit(0.0))
+
+    parts = [c for m in metrics for c in (theta(m).alias(f"theta_{m}"), F.avg(f"prev_{m}").alias(f"mean_{m}"))]
+    fitted = joined.select(F.struct(*parts).alias("fitted")).scalar()
+
+    def adjusted(m: str) -> Column:
+        shift = fitted.getField(f"mean_{m}") if centre else F.lit(0.0)
+        return F.col(m) - fitted.getField(f"theta_{m}") * (F.col(f"prev_{m}") - shift)
+
+    return joined.withColumns({f"cuped_{m}": adjusted(m) for m in metrics})
 
 
 def cuped_metrics(

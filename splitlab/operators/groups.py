@@ -21,6 +21,8 @@ SUMS_PER_TASK = 8_000_000
 MEMBERSHIP = 2_000_000
 # Units assumed where they were not counted.
 UNKNOWN_UNITS = 100_000
+# Units times salts of a task, where units were counted: well under a minute of hashing.
+PAIRS_PER_TASK = 20_000_000
 
 
 def quoted(name: str) -> str:
@@ -145,7 +147,7 @@ def group_days(series: UnitSeries, salts: SaltSet, slots: Sequence[int], keep: S
     lookup = np.array([groups.index(g) if g in groups else -1 for g in slots])
     shape = (series.period, len(series.metrics), len(groups))
     per_group = (len(series.metrics) + 1) * series.period + 1
-    tasks = parallelism(series.df.sparkSession)
+    tasks = max(parallelism(series.df.sparkSession), -(-(series.n_units or 0) * salts.n // PAIRS_PER_TASK))
     layout = cells(series.df, salts, *work_grid(salts.n, len(groups), per_group, tasks, series.n_units))
 
     values = [f"{m}__{g}" for m in series.metrics for g in groups]

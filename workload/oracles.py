@@ -14,7 +14,8 @@ METRIC_LIST = ("m1", "m2")
 
 
 def r(expr: str, digits: int = 6) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), {digits}) + 0e0"
+    """Rounded as in the queries: ties nudged off the boundary, no negative zeros."""
+    return f"ROUND(CAST({expr} AS DOUBLE) + 3e-{digits + 2}, {digits}) + 0e0"
 
 
 def rounded(columns: str, digits: int = 6) -> str:

@@ -37,24 +37,24 @@ def unit_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.unit_day_metrics([events], M)
 
 
-def series_of(spark: SparkSession, sf_dir: str, cfg: SplitConfig) -> metrics.UnitSeries:
-    return metrics.unit_series(unit_days(spark, sf_dir), M, cfg.start_date, cfg.period)
+def series_of(days: DataFrame, cfg: SplitConfig) -> metrics.UnitSeries:
+    return metrics.unit_series(days, M, cfg.start_date, cfg.period)
 
 
 def salts(spark: SparkSession, cfg: SplitConfig) -> SaltSet:
     return generate_salts(spark, cfg.base_salt, cfg.run_date, cfg.ntrials)
 
 
-def losses(spark: SparkSession, sf_dir: str, cfg: SplitConfig, version: int = 1) -> DataFrame:
-    candidates = salts(spark, cfg)
-    days = loss.salt_days(series_of(spark, sf_dir, cfg), candidates, cfg)
-    return loss.salt_loss(days, candidates, cfg, M, version)
+def losses(days: DataFrame, cfg: SplitConfig, version: int = 1) -> DataFrame:
+    candidates = salts(days.sparkSession, cfg)
+    grouped = loss.salt_days(series_of(days, cfg), candidates, cfg)
+    return loss.salt_loss(grouped, candidates, cfg, M, version)
 
 
-def stored_salts(spark: SparkSession, sf_dir: str, n: int = TOP) -> SaltSet:
+def stored_salts(days: DataFrame, n: int = TOP) -> SaltSet:
     """The best salts of the first half of the data, as a stored table would hold them."""
     before = config(run_date=EXPERIMENT_START, period=15)
-    return top_salts(materialize(losses(spark, sf_dir, before).select("salt", "pae")), n)
+    return top_salts(materialize(losses(days, before).select("salt", "pae")), n)
 
 
 # Digits kept: amounts are summed in any order, ratios are close to 1.
@@ -62,10 +62,15 @@ AMOUNT, RATIO, DENSITY = 6, 9, 5
 
 
 def rounded(df: DataFrame, digits: int = AMOUNT) -> DataFrame:
-    """Doubles rounded, without negative zeros."""
+    """Doubles rounded, without negative zeros.
+
+    Quotients of amounts often end in an exact 5 one digit further on, where the last bit of a sum
+    would decide; the nudge moves such ties off the boundary.
+    """
+    nudge = F.lit(3 * 10.0 ** -(digits + 2))
     doubles = {c for c, t in df.dtypes if t == "double"}
     return df.select(*[
-        (F.round(c, digits) + F.lit(0.0)).alias(c) if c in doubles else F.col(c) for c in df.columns
+        (F.round(F.col(c) + nudge, digits) + F.lit(0.0)).alias(c) if c in doubles else F.col(c) for c in df.columns
     ])
 
 
@@ -108,70 +113,71 @@ def unit_day_metrics(spark, sf_dir):
 
 def salt_loss(version: int) -> Query:
     def run(spark, sf_dir):
-        return rounded(losses(spark, sf_dir, config(), version).select("salt", "pae"), RATIO)
+        return rounded(losses(unit_days(spark, sf_dir), config(), version).select("salt", "pae"), RATIO)
 
     return run
 
 
 def random_salt_perf(spark, sf_dir):
     cfg = config()
-    return rounded(select.loss_report(series_of(spark, sf_dir, cfg), salts(spark, cfg), cfg, M), RATIO)
+    return rounded(select.loss_report(series_of(unit_days(spark, sf_dir), cfg), salts(spark, cfg), cfg, M), RATIO)
 
 
 def stored_salts_top_n(spark, sf_dir):
-    return rounded(stored_salts(spark, sf_dir).df, RATIO)
+    return rounded(stored_salts(unit_days(spark, sf_dir)).df, RATIO)
 
 
 def smart_salt_perf(spark, sf_dir):
-    cfg = config()
-    return rounded(select.loss_report(series_of(spark, sf_dir, cfg), stored_salts(spark, sf_dir), cfg, M), RATIO)
+    cfg, days = config(), materialize(unit_days(spark, sf_dir))
+    return rounded(select.loss_report(series_of(days, cfg), stored_salts(days), cfg, M), RATIO)
 
 
 # Bootstrap.
 
 
-def rdiffs(spark, sf_dir, candidates: SaltSet | None = None, **options) -> DataFrame:
+def rdiffs(days: DataFrame, candidates: SaltSet | None = None, **options) -> DataFrame:
     cfg = config()
-    return bootstrap.bootstrap_rdiff(series_of(spark, sf_dir, cfg), candidates or salts(spark, cfg), PERIOD, **options)
+    return bootstrap.bootstrap_rdiff(series_of(days, cfg), candidates or salts(days.sparkSession, cfg), PERIOD, **options)
 
 
 def bootstrap_pairs(spark, sf_dir):
     cfg = config()
-    days = bootstrap.scheme_days(series_of(spark, sf_dir, cfg), salts(spark, cfg))
+    days = bootstrap.scheme_days(series_of(unit_days(spark, sf_dir), cfg), salts(spark, cfg))
     return rounded(bootstrap.paired_days(days, M).drop("scheme"), RATIO)
 
 
 def bootstrap_rdiff(spark, sf_dir):
-    return rounded(rdiffs(spark, sf_dir).drop("salt_id"), RATIO)
+    return rounded(rdiffs(unit_days(spark, sf_dir)).drop("salt_id"), RATIO)
 
 
 def bootstrap_smart_salts(spark, sf_dir):
-    stored = stored_salts(spark, sf_dir)
-    return rounded(rdiffs(spark, sf_dir, stored, weights=WEIGHTS, schemes=[GROUPS]).drop("salt_id"), RATIO)
+    days = materialize(unit_days(spark, sf_dir))
+    return rounded(rdiffs(days, stored_salts(days), weights=WEIGHTS, schemes=[GROUPS]).drop("salt_id"), RATIO)
 
 
 def bootstrap_ci(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_ci(materialize(rdiffs(spark, sf_dir)), M, digits=None), RATIO)
+    return rounded(bootstrap.bootstrap_ci(materialize(rdiffs(unit_days(spark, sf_dir))), M, digits=None), RATIO)
 
 
 def bootstrap_ci_trimmed(spark, sf_dir):
     """All pairs of groups, without relative differences of 5 and more."""
-    table = materialize(rdiffs(spark, sf_dir))
+    table = materialize(rdiffs(unit_days(spark, sf_dir)))
     return rounded(bootstrap.bootstrap_ci(table, M, pair=None, cut_on="m2", cut=5.0, digits=None), RATIO)
 
 
 def ci_comparison(spark, sf_dir):
     """Intervals of random salts beside those of stored salts with the lowest loss."""
-    variants = {"random": salts(spark, config()), "smart": stored_salts(spark, sf_dir)}
+    days = materialize(unit_days(spark, sf_dir))
+    variants = {"random": salts(spark, config()), "smart": stored_salts(days)}
     tables = {
-        name: bootstrap.bootstrap_ci(materialize(rdiffs(spark, sf_dir, candidates)), M, digits=None)
+        name: bootstrap.bootstrap_ci(materialize(rdiffs(days, candidates)), M, digits=None)
         for name, candidates in variants.items()
     }
     return rounded(bootstrap.compare_ci(tables, M), RATIO)
 
 
 def bootstrap_density(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_density(materialize(rdiffs(spark, sf_dir)), "m2"), DENSITY)
+    return rounded(bootstrap.bootstrap_density(materialize(rdiffs(unit_days(spark, sf_dir))), "m2"), DENSITY)
 
 
 # Stationarity and selection.
@@ -180,7 +186,7 @@ def bootstrap_density(spark, sf_dir):
 def series(spark, sf_dir, cfg: SplitConfig | None = None) -> DataFrame:
     cfg = cfg or config()
     candidates = salts(spark, cfg)
-    named = stationarity.ratio_series(loss.salt_days(series_of(spark, sf_dir, cfg), candidates, cfg), cfg, M)
+    named = stationarity.ratio_series(loss.salt_days(series_of(unit_days(spark, sf_dir), cfg), candidates, cfg), cfg, M)
     return named.join(F.broadcast(candidates.df), "salt_id").drop("salt_id")
 
 
@@ -199,14 +205,14 @@ def adf_aic(spark, sf_dir):
 def salt_stationarity(spark, sf_dir):
     cfg = config()
     candidates = salts(spark, cfg)
-    days = loss.salt_days(series_of(spark, sf_dir, cfg), candidates, cfg)
+    days = loss.salt_days(series_of(unit_days(spark, sf_dir), cfg), candidates, cfg)
     tested = stationarity.stationarity(days, cfg, M)
     return candidates.df.join(F.broadcast(tested), "salt_id", "left").drop("salt_id")
 
 
 def walk(spark, sf_dir, version: int = 1) -> select.SaltWalk:
     cfg = config(WALK_TRIALS)
-    return select.SaltWalk(series_of(spark, sf_dir, cfg), salts(spark, cfg), cfg, version)
+    return select.SaltWalk(series_of(unit_days(spark, sf_dir), cfg), salts(spark, cfg), cfg, version)
 
 
 def smart_salt(spark, sf_dir):
@@ -303,15 +309,18 @@ def affiliate_fields(spark, sf_dir):
 
 
 def dashboard(spark, sf_dir, numbered: bool) -> DataFrame:
-    """Daily value per unit of two control and two test groups, before and after the start."""
+    """Daily value per unit of two control and two test groups, before and after the start.
+
+    A row per day and group, stored once: the analyses read it several times.
+    """
     cfg = config()
     one_salt = SaltSet(spark.range(1).select(F.col("id").alias("salt_id"), F.lit(DASHBOARD_SALT).alias("salt")), 1)
-    days = group_rows(group_days(series_of(spark, sf_dir, cfg), one_salt, [0, 1, 2, 3]), range(4), M)
+    days = group_rows(group_days(series_of(unit_days(spark, sf_dir), cfg), one_salt, [0, 1, 2, 3]), range(4), M)
     role = F.when(F.col("grp") % 2 == 0, "control").otherwise("test")
     number = (F.floor(F.col("grp") / 2) + 1).cast("int")
     phase = F.when(F.col("day") < EXPERIMENT_START, "pre").otherwise("post")
     part = F.when(F.dayofweek("day").isin(1, 7), "weekend").otherwise("week")
-    return days.select(
+    return materialize(days.select(
         F.col("day").alias("date"),
         F.concat_ws("-", role, number.cast("string"), phase).alias("group"),
         (number if numbered else F.lit(None).cast("int")).alias("group_num"),
@@ -319,7 +328,7 @@ def dashboard(spark, sf_dir, numbered: bool) -> DataFrame:
         role.alias("test_control_group"),
         part.alias("part"), phase.alias("phase"),
         (F.col("m2") / F.col("n_units")).alias("value"),
-    )
+    ))
 
 
 def before_start(df: DataFrame) -> DataFrame:
@@ -371,7 +380,7 @@ def abs_diff_descriptives(spark, sf_dir):
 
 def cuped_adjusted(spark, sf_dir):
     """Two weeks after the start, adjusted by the two weeks before; two experiments."""
-    days = unit_days(spark, sf_dir)
+    days = materialize(unit_days(spark, sf_dir))
     name = F.concat(F.lit("exp"), (F.col("unit_id") % 2).cast("string")).alias("exp_name")
 
     def compute(start, end):
@@ -446,4 +455,4 @@ QUERIES: dict[str, Query] = {
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate salts by loss, best first."""
-    return losses(spark, sf_dir, config(50)).select("salt", "pae").orderBy(*loss_order())
+    return losses(unit_days(spark, sf_dir), config(50)).select("salt", "pae").orderBy(*loss_order())
