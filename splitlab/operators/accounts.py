@@ -75,7 +75,8 @@ class Account:
 
     measures = PERFORMANCE
     pos_column = "pos"
-    weights: Sequence[int] = [1] * 10
+    # Bucket weights an experiment on this account uses; None where the caller chooses them.
+    weights: Sequence[int] | None = [1] * 10
 
     def __init__(
         self, start_date: date | str, end_date: date | str, pos: str | Sequence[str] = "All",
@@ -240,6 +241,7 @@ class PlacementAccount(Account):
 
     measures = [*PERFORMANCE, "length_of_stay"]
     pos_column = "distribution"
+    weights = None
 
     def __init__(self, *args, placements: Sequence[str] = ("DMeta", "Mobile"), strict_silo: bool = False, **kwargs):
         super().__init__(*args, **kwargs)
