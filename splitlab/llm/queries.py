@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitlab.llm import bpe, decontaminate, html, jaccard, quality, secrets, vptree
+from splitlab.llm import bpe, decontaminate, html, jaccard, quality, secrets, suffix, vptree
 
 VOCABULARY = "byte_bpe_50k.json"
 #: A document is predicted good from this score on.
@@ -55,6 +55,12 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.spans(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path(), keep_ids=False).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
@@ -68,6 +74,6 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op9_bpe, op10_nearest)
+    for f in (op1_decontamination, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op7_suffix_array, op9_bpe, op10_nearest)
 }
 ORACLES: dict[str, str] = {}
