@@ -230,3 +230,45 @@ def groups(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begins and sizes of runs of equal keys."""
     begins = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]]) if len(sorted_keys) else np.zeros(0, np.int64)
     return begins, np.diff(np.r_[begins, len(sorted_keys)])
+
+
+def near_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces whose ids lie within 32 bits of each other."""
+    for batch in pieces(batches):
+        ids = batch.column("doc_id").to_numpy()
+        if len(ids) and float(ids.max()) - float(ids.min()) < 2**32:
+            yield batch
+        else:
+            yield from (batch.slice(i, 1) for i in range(len(ids)))
+
+
+def with_base(sent: pa.RecordBatch, base: int) -> pa.RecordBatch:
+    """Packed rows whose ``doc`` counts from ``base``."""
+    return sent.append_column("base", pa.array(np.full(sent.num_rows, base, np.int64)))
+
+
+def unpacked_docs(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> dict[str, np.ndarray] | None:
+    """unpacked, with the 32-bit ``doc`` raised by each row's base."""
+    parts = []
+    for batch in batches:
+        if batch.num_rows:
+            found = unpacked([batch], kinds)
+            if found and len(found["doc"]):
+                sizes = np.array([len(x) // 4 for x in batch.column("doc").to_pylist()])
+                found["doc"] = found["doc"].astype(np.int64) + np.repeat(batch.column("base").to_numpy(), sizes)
+            if found:
+                parts.append(found)
+    return {name: np.concatenate([p[name] for p in parts]) for name in kinds} if parts else None
+
+
+def keyed_by_text(docs: DataFrame, text: str, id: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Rows (doc_id, text, digest) dealt by id; per id the digests of texts it is the first to have; rows without id.
+
+    The dealing is one exchange that all steps of a plan share: neither filters nor columns differ below it.
+    """
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    source = docs.select(F.col(f"`{id}`").cast("bigint").alias("doc_id"), value.alias("text"))
+    n_tasks = slices(source)
+    whole = source.where("doc_id is not null").select("doc_id", "text", F.coalesce(F.sha2("text", 256), F.lit("")).alias("digest"))
+    firsts = whole.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("digest").alias("firsts"))
+    return whole.repartition(n_tasks, "doc_id"), firsts, source.where("doc_id is null"), n_tasks

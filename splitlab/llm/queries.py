@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitlab.llm import bpe, decontaminate, html, jaccard, quality, secrets, suffix, vptree
+from splitlab.llm import bpe, decontaminate, html, jaccard, quality, secrets, suffix, vptree, windows
 
 VOCABULARY = "byte_bpe_50k.json"
 #: A document is predicted good from this score on.
@@ -32,6 +32,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.explode("hits").alias("hit")).select("doc_id", "hit.*")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that a document shares with one of a smaller id."""
+    return windows.repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
@@ -74,6 +79,6 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op7_suffix_array, op9_bpe, op10_nearest)
+    for f in (op1_decontamination, op2_substring_dedup, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op7_suffix_array, op9_bpe, op10_nearest)
 }
 ORACLES: dict[str, str] = {}

@@ -25,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from splitlab.llm.common import BUCKETS_PER_TASK, U, dealt, groups, mix, packed, packed_schema, pieces, slices, small_batches, unpacked, utf8
+from splitlab.llm.common import (
+    BUCKETS_PER_TASK, U, dealt, groups, keyed_by_text, mix, near_ids, packed, packed_schema, pieces, small_batches, unpacked_docs, utf8, with_base,
+)
 
 LENGTH = 50
 GRAM = 16
@@ -79,40 +81,12 @@ class Triggers:
         return first, last
 
 
-def _near_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces whose ids lie within 32 bits of each other."""
-    for batch in pieces(batches):
-        ids = batch.column("doc_id").to_numpy()
-        if len(ids) and float(ids.max()) - float(ids.min()) < 2**32:
-            yield batch
-        else:
-            yield from (batch.slice(i, 1) for i in range(len(ids)))
-
-
-def _with_base(sent: pa.RecordBatch, base: int) -> pa.RecordBatch:
-    return sent.append_column("base", pa.array(np.full(sent.num_rows, base, np.int64)))
-
-
-def _whole(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> dict[str, np.ndarray] | None:
-    """unpacked, with the 32-bit ``doc`` raised by each row's base."""
-    parts = []
-    for batch in batches:
-        if batch.num_rows:
-            found = unpacked([batch], kinds)
-            if found and len(found["doc"]):
-                sizes = np.array([len(x) // 4 for x in batch.column("doc").to_pylist()])
-                found["doc"] = found["doc"].astype(np.int64) + np.repeat(batch.column("base").to_numpy(), sizes)
-            if found:
-                parts.append(found)
-    return {name: np.concatenate([p[name] for p in parts]) for name in kinds} if parts else None
-
-
 def _shared_triggers(work: DataFrame, n_tasks: int) -> DataFrame:
     """(doc_id, keys): triggers of each document that other documents have too."""
     n_buckets = n_tasks * BUCKETS_PER_TASK
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _near_ids(batches):
+        for batch in near_ids(batches):
             found = Triggers(*utf8(batch.column("text")))
             if len(found.at):
                 ids = batch.column("doc_id").to_numpy()
@@ -120,10 +94,10 @@ def _shared_triggers(work: DataFrame, n_tasks: int) -> DataFrame:
                 key, row = found.keys[order], found.row[order]
                 once = np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])]
                 doc = (ids[row[once]] - ids.min()).astype(np.uint32)
-                yield _with_base(packed(key[once], n_buckets, {"key": key[once], "doc": doc}), int(ids.min()))
+                yield with_base(packed(key[once], n_buckets, {"key": key[once], "doc": doc}), int(ids.min()))
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if all_ := _whole(batches, {"key": U, "doc": np.uint32}):
+        if all_ := unpacked_docs(batches, {"key": U, "doc": np.uint32}):
             order = np.lexsort((all_["doc"], all_["key"]))
             key, doc = all_["key"][order], all_["doc"][order]
             begins, sizes = groups(key)
@@ -140,7 +114,7 @@ def _repeats(parsed: DataFrame, n_tasks: int) -> DataFrame:
     phrase = np.dtype((np.void, WIDEST + 1))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _near_ids(batches):
+        for batch in near_ids(batches):
             found = Triggers(*utf8(batch.column("text")))
             if not len(found.at):
                 continue
@@ -171,12 +145,12 @@ def _repeats(parsed: DataFrame, n_tasks: int) -> DataFrame:
             place = (first - found.offsets[found.row[some]]).astype(np.uint32)
             none = {"name": name[:0], "text": text.view(phrase).ravel()[:0], "of": name[:0], "doc": doc[:0], "place": place[:0]}
             base = int(ids.min())
-            yield _with_base(packed(key, n_buckets, none | {"of": name, "doc": doc, "place": place}), base)
+            yield with_base(packed(key, n_buckets, none | {"of": name, "doc": doc, "place": place}), base)
             _, once = np.unique(name, return_index=True)
-            yield _with_base(packed(key[once], n_buckets, none | {"name": name[once], "text": text.view(phrase).ravel()[once]}), base)
+            yield with_base(packed(key[once], n_buckets, none | {"name": name[once], "text": text.view(phrase).ravel()[once]}), base)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_ = _whole(batches, {"name": U, "text": phrase, "of": U, "doc": np.uint32, "place": np.uint32})
+        all_ = unpacked_docs(batches, {"name": U, "text": phrase, "of": U, "doc": np.uint32, "place": np.uint32})
         if not all_ or not len(all_["of"]):
             return
         names, once = np.unique(all_["name"], return_index=True)
@@ -218,19 +192,6 @@ def _repeats(parsed: DataFrame, n_tasks: int) -> DataFrame:
     return sent.mapInArrow(judge, "doc_id bigint, start bigint, end bigint")
 
 
-def keyed_by_text(docs: DataFrame, text: str, id: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """Rows (doc_id, text, digest) dealt by id; per id the digests of texts it is the first to have; rows without id.
-
-    The dealing is one exchange that all steps of a plan share: neither filters nor columns differ below it.
-    """
-    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    source = docs.select(F.col(f"`{id}`").cast("bigint").alias("doc_id"), value.alias("text"))
-    n_tasks = slices(source)
-    whole = source.where("doc_id is not null").select("doc_id", "text", F.coalesce(F.sha2("text", 256), F.lit("")).alias("digest"))
-    firsts = whole.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("digest").alias("firsts"))
-    return whole.repartition(n_tasks, "doc_id"), firsts, source.where("doc_id is null"), n_tasks
-
-
 def spans(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row: removed runs of bytes and the text without them.
 
