@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitlab.llm import bpe, decontaminate, html, jaccard, quality, secrets, suffix, vptree, windows
+from splitlab.llm import bpe, decontaminate, html, jaccard, pii, quality, secrets, suffix, vptree, windows
 
 VOCABULARY = "byte_bpe_50k.json"
 #: A document is predicted good from this score on.
@@ -66,6 +66,13 @@ def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("personal", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{pii.KINDS[k]}") for k in range(4)]
+    base = secrets.listed(F.filter("personal", lambda x: x["kind"] < 4), pii.KINDS)
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), secrets.listed("personal", pii.KINDS).alias("spans"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_path(), keep_ids=False).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"
@@ -79,6 +86,6 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_substring_dedup, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op7_suffix_array, op9_bpe, op10_nearest)
+    for f in (op1_decontamination, op2_substring_dedup, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op7_suffix_array, op8_pii, op9_bpe, op10_nearest)
 }
 ORACLES: dict[str, str] = {}

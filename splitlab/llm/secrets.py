@@ -148,10 +148,10 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.select(*(f"`{c}`" for c in docs.columns if c != "secrets"), "secrets")
 
 
-def listed(spans: Column | str) -> Column:
+def listed(spans: Column | str, kinds: tuple[str, ...] = KINDS) -> Column:
     """Spans as kind:start:end, comma-joined."""
     spans = F.col(spans) if isinstance(spans, str) else spans
-    names = F.array(*map(F.lit, KINDS))
+    names = F.array(*map(F.lit, kinds))
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
