@@ -217,6 +217,20 @@ def unpacked(batches: Iterator[pa.RecordBatch], kinds: dict[str, type]) -> dict[
     return {name: np.concatenate(parts) if parts else np.zeros(0, kinds[name]) for name, parts in found.items()}
 
 
+SIX = np.dtype((np.void, 6))
+
+
+def six_bytes(keys: np.ndarray) -> np.ndarray:
+    """The low 48 bits of keys, to travel in a shuffle; good for a filter, where a rare clash costs only work."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).view(SIX).ravel()
+
+
+def from_six_bytes(packed_keys: np.ndarray) -> np.ndarray:
+    wide = np.zeros((len(packed_keys), 8), np.uint8)
+    wide[:, :6] = packed_keys.view(np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel().astype(U)
+
+
 def dealt(df: DataFrame, n_tasks: int) -> DataFrame:
     """Rows of ``packed`` to the tasks of their buckets."""
     return df.repartition(n_tasks, "bucket")
@@ -267,7 +281,9 @@ def keyed_by_text(docs: DataFrame, text: str, id: str) -> tuple[DataFrame, DataF
     The dealing is one exchange that all steps of a plan share: neither filters nor columns differ below it.
     """
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    source = docs.select(F.col(f"`{id}`").cast("bigint").alias("doc_id"), value.alias("text"))
+    # A plain column stays a plain column: an alias would keep Spark from seeing that two exchanges are the same.
+    key = F.col(id) if id == "doc_id" and docs.schema[id].dataType.simpleString() == "bigint" else F.col(f"`{id}`").cast("bigint").alias("doc_id")
+    source = docs.select(key, value.alias("text"))
     n_tasks = slices(source)
     whole = source.where("doc_id is not null").select("doc_id", "text", F.coalesce(F.sha2("text", 256), F.lit("")).alias("digest"))
     firsts = whole.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("digest").alias("firsts"))

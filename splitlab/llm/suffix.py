@@ -7,11 +7,12 @@ their trigger at the same place, and every string of LENGTH bytes has one. A tri
 the text under all strings that chose it.
 
 1. Triggers that occur in one document only cannot be part of a repeat and go; few are left.
-2. The phrases of the others form the parse of each document, and once each, the dictionary.
-   All suffixes of the dictionary's phrases are sorted by their first LENGTH bytes; in that order
-   equal strings are neighbours, and the least document of each follows from the phrases' least
-   documents. Highly repetitive text has few distinct phrases, so the dictionary stays small.
-3. The parse brings the verdicts back to the places in each document, where they are united.
+2. The phrases of the others, by name (a 64-bit hash), form the parse of each document. A trigger
+   that always has the same phrase needs no text: all its strings start in the phrase's documents.
+3. The phrases of triggers with several, at the edges of repeats, form the dictionary, once each.
+   All suffixes of its phrases are sorted by their first LENGTH bytes; in that order equal strings
+   are neighbours, and the least document of each follows from the phrases' least documents.
+4. The parse brings the verdicts back to the places in each document, where they are united.
 
 Dictionary and parse are dealt to tasks by trigger hash, which equal strings share.
 """
@@ -26,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.llm.common import (
-    BUCKETS_PER_TASK, U, dealt, groups, keyed_by_text, mix, near_ids, packed, packed_schema, pieces, small_batches, unpacked_docs, utf8, with_base,
+    BUCKETS_PER_TASK, SIX, U, dealt, from_six_bytes, groups, keyed_by_text, mix, near_ids, packed, packed_schema, pieces, six_bytes, small_batches,
+    unpacked_docs, utf8, with_base,
 )
 
 LENGTH = 50
@@ -44,6 +46,11 @@ def _slide(x: np.ndarray, pick, width: int) -> np.ndarray:
     return pick(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """The 48 bits of trigger hashes by which they are dealt."""
+    return keys & U((1 << 48) - 1)
+
+
 class Triggers:
     """Trigger places and hashes of the rows of a text column, and the least hash of each string."""
 
@@ -94,12 +101,13 @@ def _shared_triggers(work: DataFrame, n_tasks: int) -> DataFrame:
                 key, row = found.keys[order], found.row[order]
                 once = np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1])]
                 doc = (ids[row[once]] - ids.min()).astype(np.uint32)
-                yield with_base(packed(key[once], n_buckets, {"key": key[once], "doc": doc}), int(ids.min()))
+                yield with_base(packed(short(key[once]), n_buckets, {"key": six_bytes(key[once]), "doc": doc}), int(ids.min()))
 
     def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if all_ := unpacked_docs(batches, {"key": U, "doc": np.uint32}):
-            order = np.lexsort((all_["doc"], all_["key"]))
-            key, doc = all_["key"][order], all_["doc"][order]
+        if all_ := unpacked_docs(batches, {"key": SIX, "doc": np.uint32}):
+            key = from_six_bytes(all_["key"])
+            order = np.lexsort((all_["doc"], key))
+            key, doc = key[order], all_["doc"][order]
             begins, sizes = groups(key)
             kept = np.repeat(doc[begins] != doc[begins + sizes - 1], sizes)
             yield pa.RecordBatch.from_arrays([pa.array(doc[kept]), pa.array(key[kept].view(np.int64))], ["doc_id", "key"])
@@ -108,46 +116,94 @@ def _shared_triggers(work: DataFrame, n_tasks: int) -> DataFrame:
     return sent.mapInArrow(several, "doc_id bigint, key bigint").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
 
+def _chosen(batch: pa.RecordBatch, column: str) -> tuple[Triggers, np.ndarray]:
+    """Triggers of the rows' texts, and the places of those whose short hash is in the row's list."""
+    found = Triggers(*utf8(batch.column("text")))
+    if not len(found.at):
+        return found, np.zeros(0, np.int64)
+    lists = batch.column(column)
+    keys = lists.flatten().to_numpy().view(U)
+    # a lookup of (row, key): the row is mixed into the key
+    apart = U(0xD1342543DE82EF95)
+    known = np.sort(mix(keys + np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())).astype(U) * apart))
+    asked = mix(short(found.keys) + found.row.astype(U) * apart)
+    if not len(known):
+        return found, np.zeros(0, np.int64)
+    return found, np.flatnonzero(known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked)
+
+
+def _phrases(found: Triggers, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts of the triggers' phrases (padded, the size in the last byte), their names, and first bytes."""
+    first, last = found.strings(some)
+    size = last - first + LENGTH
+    room = np.r_[found.data, np.zeros(WIDEST, np.uint8)]
+    text = np.zeros((len(some), 88), np.uint8)
+    text[:, :WIDEST] = room[first[:, None] + np.arange(WIDEST)]
+    text[:, :WIDEST][np.arange(WIDEST) >= size[:, None]] = 0
+    text[:, WIDEST] = size
+    name = np.zeros(len(text), U)
+    for k, part in enumerate(text.view("<u8").T):
+        name += mix(part + U(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * U(2 * k + 3)
+    return np.ascontiguousarray(text[:, : WIDEST + 1]), name, first
+
+
+def _sifted(parsed: DataFrame, n_tasks: int) -> DataFrame:
+    """(doc_id, runs, keys): bytes under phrases that a smaller document has, where the trigger has one phrase; the other triggers."""
+    n_buckets = n_tasks * BUCKETS_PER_TASK
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in near_ids(batches):
+            found, some = _chosen(batch, "keys")
+            if len(some):
+                ids = batch.column("doc_id").to_numpy()
+                text, name, first = _phrases(found, some)
+                row = found.row[some]
+                columns = {"key": six_bytes(found.keys[some]), "name": name, "doc": (ids[row] - ids.min()).astype(np.uint32)}
+                columns |= {"place": (first - found.offsets[row]).astype(np.uint32), "size": text[:, WIDEST]}
+                yield with_base(packed(short(found.keys[some]), n_buckets, columns), int(ids.min()))
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_ = unpacked_docs(batches, {"key": SIX, "name": U, "doc": np.uint32, "place": np.uint32, "size": np.uint8})
+        if not all_:
+            return
+        key = from_six_bytes(all_["key"])
+        order = np.lexsort((all_["doc"], all_["name"], key))
+        key, name, doc = key[order], all_["name"][order], all_["doc"][order]
+        begins, sizes = groups(key)
+        single = np.repeat(name[begins] == name[begins + sizes - 1], sizes)
+        gone = single & (doc > np.repeat(doc[begins], sizes))
+        start = all_["place"][order][gone].astype(np.int64)
+        once = ~single & np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]
+        columns = [np.r_[doc[gone], doc[once]], np.r_[start, np.full(once.sum(), -1)], np.r_[start + all_["size"][order][gone], key[once].view(np.int64)]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "start", "rest"])
+
+    names = ("key", "name", "doc", "place", "size")
+    sent = dealt(parsed.mapInArrow(emit, packed_schema(*names) + ", base bigint"), n_tasks)
+    rows = sent.mapInArrow(sift, "doc_id bigint, start bigint, rest bigint").where("doc_id is not null")
+    return rows.groupBy("doc_id").agg(F.collect_list(F.struct("start", "rest")).alias("sifted"))
+
+
 def _repeats(parsed: DataFrame, n_tasks: int) -> DataFrame:
-    """(doc_id, start, end): runs of bytes under strings that a smaller document has."""
+    """(doc_id, start, end): runs of bytes under strings that a smaller document has, of triggers with several phrases."""
     n_buckets = n_tasks * BUCKETS_PER_TASK
     phrase = np.dtype((np.void, WIDEST + 1))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in near_ids(batches):
-            found = Triggers(*utf8(batch.column("text")))
-            if not len(found.at):
-                continue
-            ids = batch.column("doc_id").to_numpy()
-            shared = batch.column("keys")
-            keys = shared.flatten().to_numpy().view(U)
-            owner = np.repeat(np.arange(len(ids)), np.diff(shared.offsets.to_numpy()))
-            # a (row, key) lookup: rows are apart by mixing the row into the key
-            known = np.sort(mix(keys + owner.astype(U) * U(0xD1342543DE82EF95)))
-            asked = mix(found.keys + found.row.astype(U) * U(0xD1342543DE82EF95))
-            place = np.minimum(np.searchsorted(known, asked), max(len(known) - 1, 0))
-            some = np.flatnonzero(known[place] == asked) if len(known) else np.zeros(0, np.int64)
+            found, some = _chosen(batch, "keys")
             if not len(some):
                 continue
-            first, last = found.strings(some)
-            size = last - first + LENGTH
-            room = np.r_[found.data, np.zeros(WIDEST, np.uint8)]
-            text = room[first[:, None] + np.arange(WIDEST)]
-            text[np.arange(WIDEST) >= size[:, None]] = 0
-            text = np.ascontiguousarray(np.c_[text, size.astype(np.uint8)])
-            padded = np.zeros((len(text), 88), np.uint8)
-            padded[:, : WIDEST + 1] = text
-            name = np.zeros(len(text), U)
-            for k, part in enumerate(padded.view("<u8").T):
-                name += mix(part + U(k) * U(0x9E3779B97F4A7C15)) * U(2 * k + 3)
-            key = found.keys[some]
-            doc = (ids[found.row[some]] - ids.min()).astype(np.uint32)
-            place = (first - found.offsets[found.row[some]]).astype(np.uint32)
-            none = {"name": name[:0], "text": text.view(phrase).ravel()[:0], "of": name[:0], "doc": doc[:0], "place": place[:0]}
+            ids = batch.column("doc_id").to_numpy()
+            text, name, first = _phrases(found, some)
+            text = text.view(phrase).ravel()
+            key, row = short(found.keys[some]), found.row[some]
+            doc = (ids[row] - ids.min()).astype(np.uint32)
+            place = (first - found.offsets[row]).astype(np.uint32)
+            none = {"name": name[:0], "text": text[:0], "of": name[:0], "doc": doc[:0], "place": place[:0]}
             base = int(ids.min())
             yield with_base(packed(key, n_buckets, none | {"of": name, "doc": doc, "place": place}), base)
             _, once = np.unique(name, return_index=True)
-            yield with_base(packed(key[once], n_buckets, none | {"name": name[once], "text": text.view(phrase).ravel()[once]}), base)
+            yield with_base(packed(key[once], n_buckets, none | {"name": name[once], "text": text[once]}), base)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_ = unpacked_docs(batches, {"name": U, "text": phrase, "of": U, "doc": np.uint32, "place": np.uint32})
@@ -204,12 +260,16 @@ def spans(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     small_batches(docs.sparkSession)
     rows, firsts, nameless, n_tasks = keyed_by_text(docs, text, id)
     work = rows.join(firsts, "doc_id").where(F.array_contains("firsts", F.col("digest")))
-    parsed = work.join(_shared_triggers(work, n_tasks), "doc_id")
-    found = _repeats(parsed, n_tasks).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    judged = rows.join(firsts, "doc_id", "left").join(found, "doc_id", "left").select(
-        "doc_id", "text", (~F.coalesce(F.array_contains("firsts", F.col("digest")), F.lit(False))).alias("copy"), "found"
-    )
-    judged = judged.union(nameless.select("doc_id", "text", F.lit(False), F.lit(None).cast(judged.schema["found"].dataType)))
+    sifted = _sifted(work.join(_shared_triggers(work, n_tasks), "doc_id"), n_tasks)
+    edges = work.join(sifted, "doc_id").select("doc_id", "text", "digest", F.expr("transform(filter(sifted, x -> x.start < 0), x -> x.rest)").alias("keys"))
+    found = _repeats(edges, n_tasks).groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    whole = F.expr("transform(filter(sifted, x -> x.start >= 0), x -> named_struct('start', x.start, 'end', x.rest))")
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    judged = rows.join(firsts, "doc_id", "left").join(sifted, "doc_id", "left").join(found, "doc_id", "left").select(
+        "doc_id", "text", (~F.coalesce(F.array_contains("firsts", F.col("digest")), F.lit(False))).alias("copy"),
+        F.concat(F.coalesce(whole, none), F.coalesce("found", none)).alias("found"), "digest",
+    )
+    judged = judged.union(nameless.select("doc_id", "text", F.lit(False), none, F.lit("")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
