@@ -253,7 +253,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
                     earlier = batch.column("hits").to_pylist()
                     rows = [sorted([*map(lambda h: tuple(h.values()), e), *f]) for e, f in zip(earlier, found)]
                     hits = pa.array([[dict(zip(names, h)) for h in r] for r in rows], batch.schema.field("hits").type)
-                    batch = batch.set_column(batch.schema.get_field_index("hits"), "hits", hits)
+                    batch = batch.set_column(batch.schema.get_field_index("hits"), batch.schema.field("hits"), hits)
                 yield batch
 
         out = out.mapInArrow(run, f"{fields}, hits array<{HIT}>")

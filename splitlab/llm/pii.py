@@ -207,7 +207,8 @@ def find(docs: DataFrame, text: str = "text", words: DataFrame | None = None) ->
                         if not any(s < b and a < e for s, _, e in rows[i]):
                             rows[i].append((a, 5 if shares[place[k]] >= REMOVE else 4, b))
                 spans = [[dict(zip(("start", "kind", "end"), s)) for s in sorted(r)] for r in rows]
-                yield batch.set_column(batch.schema.get_field_index("personal"), "personal", pa.array(spans, batch.schema.field("personal").type))
+                field = batch.schema.field("personal")
+                yield batch.set_column(batch.schema.get_field_index("personal"), field, pa.array(spans, field.type))
 
         out = out.mapInArrow(run, f"{fields}, personal {FOUND}")
     return out
