@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import pickle
 import sys
+import uuid
 from collections.abc import Callable, Iterator
 from typing import Any
 
@@ -67,6 +68,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """As checkpointed, for larger tables: written as Parquet below the shared folder."""
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.persist()
+    path = f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+# Rows of two numbers that may be broadcast: 16 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_few(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A broadcast hint for a frame counted to have few rows; a larger one is joined by shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def slices(df: DataFrame, text: str = "text", least: int = 1) -> int:
     """Partitions for a regrouping of a table by its text: about SLICE_BYTES of text each."""
     spark = df.sparkSession

@@ -7,10 +7,10 @@ documents that meet in such a list are compared. The order is cut into fragments
 the common shingles are counted fragment by fragment and the counts summed.
 
 Links are wanted for components, so a list is not expanded into pairs. First every member is
-compared with one leader of its lists, the set with the list's shingle earliest. Then lists whose
-members still lie in different components, and only these, give all pairs between components
-that have not been compared and pass the length and position bounds: no link is missed, and a
-group of k near copies costs about k comparisons.
+compared with one leader of its lists, the set with the list's shingle earliest; equal sets need
+no comparison. Then lists whose members still lie in different components, and only these, give
+all pairs between components that have not been compared and pass the length and position bounds,
+one document for each set: no link is missed, and a group of k near copies costs about k comparisons.
 """
 
 from __future__ import annotations
@@ -23,13 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.llm.common import (
-    BUCKETS_PER_TASK, U, Words, checkpointed, dealt, groups, list_column, mix, packed, packed_schema, pieces, slices, small_batches, unpacked,
+    BUCKETS_PER_TASK, SIX, U, Words, broadcast_if_few, checkpointed, dealt, from_six_bytes, groups, list_column, mix, near_ids, packed, packed_schema,
+    pieces, six_bytes, slices, small_batches, stored, unpacked, unpacked_docs, with_base,
 )
 from splitlab.llm.components import components
 
 # A shingle counts as common beyond this many documents; at most COMMON_KEPT of them, the most frequent, are moved to the end of the order.
 COMMON = 48
 COMMON_KEPT = 200_000
+# A list that has more members in one task is cut: the task's members form a list of their own, whose leader joins the shared one.
+LIST_PART = 64
 FRAGMENTS = 4
 _CLASS_BITS = U(58)
 
@@ -39,6 +42,11 @@ def _least_overlap(n):
     return (4 * n + 4) // 5
 
 
+def short(keys: np.ndarray) -> np.ndarray:
+    """The 48 bits by which shingles are dealt and listed; a rare clash adds a comparison, not a link."""
+    return keys & U((1 << 48) - 1)
+
+
 class Sets:
     """Sorted keys (order class and hash) of each row's distinct shingles, of a column of texts."""
 
@@ -46,8 +54,8 @@ class Sets:
         shingles, begins, ends = Words(column).shingles()
         keys = shingles >> U(6)
         if common is not None and len(common[0]):
-            place = np.minimum(np.searchsorted(common[0], keys), len(common[0]) - 1)
-            keys = np.where(common[0][place] == keys, keys | common[1][place] << _CLASS_BITS, keys)
+            place = np.minimum(np.searchsorted(common[0], short(keys)), len(common[0]) - 1)
+            keys = np.where(common[0][place] == short(keys), keys | common[1][place] << _CLASS_BITS, keys)
         self.keys = [np.unique(keys[a:b]) for a, b in zip(begins, ends)]
 
 
@@ -61,14 +69,15 @@ def _common(docs: DataFrame, n_tasks: int) -> tuple[np.ndarray, np.ndarray]:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            keys = [_prefix(k) for k in Sets(batch.column("text")).keys]
+            keys = [short(_prefix(k)) for k in Sets(batch.column("text")).keys]
             keys, counts = np.unique(np.concatenate(keys), return_counts=True)
-            yield packed(keys, n_buckets, {"key": keys, "n": counts.astype(np.uint32)})
+            yield packed(keys, n_buckets, {"key": six_bytes(keys), "n": np.minimum(counts, 65535).astype(np.uint16)})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if all_ := unpacked(batches, {"key": U, "n": np.uint32}):
-            order = np.argsort(all_["key"], kind="stable")
-            keys = all_["key"][order]
+        if all_ := unpacked(batches, {"key": SIX, "n": np.uint16}):
+            keys = from_six_bytes(all_["key"])
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
             begins, _ = groups(keys)
             counts = np.add.reduceat(all_["n"][order].astype(np.int64), begins)
             often = counts > COMMON
@@ -90,142 +99,105 @@ def _digest(keys: np.ndarray) -> int:
         return int((mix(keys ^ U(0x5851F42D4C957F2D)).sum(dtype=U) * U(0x2545F4914F6CDD1D) + U(len(keys))).view(np.int64))
 
 
-def _signatures(docs: DataFrame, common) -> DataFrame:
-    """doc_id, set number, size and prefix of each row."""
+def _facts(docs: DataFrame) -> DataFrame:
+    """doc_id, set number and size of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            sets = Sets(batch.column("text"), common.value).keys
-            prefixes = [_prefix(k) for k in sets]
-            flat = np.concatenate(prefixes).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(list(map(_digest, sets)), pa.int64()), pa.array(list(map(len, sets)), pa.int32()),
-                 list_column(flat, np.cumsum(list(map(len, prefixes))), pa.int64())],
-                ["doc_id", "set", "n", "prefix"],
-            )
+            sets = Sets(batch.column("text")).keys
+            columns = [batch.column("doc_id"), pa.array(list(map(_digest, sets)), pa.int64()), pa.array(list(map(len, sets)), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set", "n"])
 
-    return docs.mapInArrow(run, "doc_id bigint, set bigint, n int, prefix array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, set bigint, n bigint")
 
 
-def _led(keys: np.ndarray, sets: np.ndarray, rank: np.ndarray):
-    """Lists by key, each entry with its list's leader: least rank (place in its set, then size), then least number."""
-    order = np.lexsort((sets, rank, keys))
-    keys, sets, rank = keys[order], sets[order], rank[order]
-    begins, sizes = groups(keys)
-    return keys[begins], sets[begins], rank[begins], np.repeat(sets[begins], sizes), sets
-
-
-def _leaders(signed: DataFrame, n_tasks: int) -> DataFrame:
-    """(a, b, c): set b shares c lists with leader a. Tasks link their own members first and pass one on per list."""
+def _lists(docs: DataFrame, common, n_tasks: int) -> DataFrame:
+    """(doc_id, key, place, leader): entries of the lists with several documents, by the first fifths of their sets."""
     n_buckets = n_tasks * BUCKETS_PER_TASK
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sets, ranks = [], [], []
-
-        def out():
-            key, led, rank, leader, member = _led(*map(np.concatenate, (keys, sets, ranks)))
-            other = leader != member
-            yield packed(key, n_buckets, {"key": key, "set": led, "rank": rank, "a": led[:0], "b": led[:0]})
-            if other.any():
-                a, b = leader[other], member[other]
-                yield packed(b.view(U), n_buckets, {"key": key[:0], "set": a[:0], "rank": rank[:0], "a": a, "b": b})
-
-        held = 0
-        for batch in batches:
-            size = np.diff(batch.column("prefix").offsets.to_numpy())
-            n = batch.column("n").to_numpy().astype(np.int64)
-            flat = batch.column("prefix").flatten().to_numpy().view(U)
-            begins = np.cumsum(size) - size
-            keys.append(flat)
-            sets.append(np.repeat(batch.column("set").to_numpy(), size))
-            ranks.append((np.arange(len(flat)) - np.repeat(begins, size)) << 32 | np.repeat(n, size))
-            held += len(flat)
-            if held > 3_000_000:
-                yield from out()
-                keys, sets, ranks, held = [], [], [], 0
-        if held:
-            yield from out()
-
-    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if all_ := unpacked(batches, {"key": U, "set": np.int64, "rank": np.int64, "a": np.int64, "b": np.int64}):
-            *_, leader, member = _led(all_["key"], all_["set"], all_["rank"])
-            other = leader != member
-            pairs = np.c_[np.r_[leader[other], all_["a"]], np.r_[member[other], all_["b"]]]
-            pairs, counts = np.unique(pairs, axis=0, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(counts)], ["a", "b", "c"])
-
-    names = ("key", "set", "rank", "a", "b")
-    sent = signed.where("n > 0").select("set", "n", "prefix").mapInArrow(emit, packed_schema(*names))
-    return dealt(sent, n_tasks).mapInArrow(link, "a bigint, b bigint, c bigint").groupBy("a", "b").agg(F.sum("c").alias("c"))
+        for batch in near_ids(batches):
+            prefixes = [short(_prefix(k)) for k in Sets(batch.column("text"), common.value).keys]
+            size = np.array(list(map(len, prefixes)))
+            key = np.concatenate(prefixes)
+            if not len(key):
+                continue
+            ids = batch.column("doc_id").to_numpy()
+            place = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
+            order = np.lexsort((place, key))
+            key, place, doc = key[order], place[order].astype(np.uint32), np.repeat(ids - ids.min(), size)[order].astype(np.uint32)
+            begins, sizes = groups(key)
+            cut = np.repeat(sizes > LIST_PART, sizes)
+            shared = ~cut
+            shared[begins] = True
+            part = int(mix(np.array([ids.min()], np.int64).view(U))[0]) & 0xFFFF | 1
+            for some, salt in ((shared, 0), (cut, part)):
+                if some.any():
+                    columns = {"key": six_bytes(key[some]), "doc": doc[some], "place": place[some], "part": np.full(some.sum(), salt, np.uint16)}
+                    yield with_base(packed(key[some] + U(salt << 48), n_buckets, columns), int(ids.min()))
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_ = unpacked_docs(batches, {"key": SIX, "doc": np.uint32, "place": np.uint32, "part": np.uint16})
+        if not all_:
+            return
+        key = from_six_bytes(all_["key"]) + (all_["part"].astype(U) << U(48))
+        order = np.lexsort((all_["doc"], all_["place"], key))
+        key, doc, place, part = key[order], all_["doc"][order], all_["place"][order].astype(np.int32), all_["part"][order]
+        begins, sizes = groups(key)
+        several = (np.minimum.reduceat(doc, begins) != np.maximum.reduceat(doc, begins)) | (part[begins] > 0)
+        several, leader = np.repeat(several, sizes), np.repeat(doc[begins], sizes)
+        columns = [doc[several], short(key[several]).view(np.int64), place[several], leader[several]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "key", "place", "leader"])
+
+    sent = dealt(docs.mapInArrow(emit, packed_schema("key", "doc", "place", "part") + ", base bigint"), n_tasks)
+    return sent.mapInArrow(lead, "doc_id bigint, key bigint, place int, leader bigint")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, common) -> DataFrame:
-    """(set, fragment, keys) of the wanted sets: their keys, cut at the pivots of the global order."""
+    """(doc_id, fragment, keys) of the wanted documents: their sets, cut at the pivots of the global order."""
     step = (1 << 58) // FRAGMENTS
     pivots = np.array([step * i for i in range(1, FRAGMENTS)], U)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             sets = Sets(batch.column("text"), common.value).keys
-            cuts = [np.r_[0, np.searchsorted(k, pivots), len(k)] for k in sets]
-            sizes = np.concatenate([np.diff(c) for c in cuts])
+            sizes = np.concatenate([np.diff(np.r_[0, np.searchsorted(k, pivots), len(k)]) for k in sets])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(batch.column("set").to_numpy(), FRAGMENTS)), pa.array(np.tile(np.arange(FRAGMENTS, dtype=np.int32), len(sets))),
+                [pa.array(np.repeat(batch.column("doc_id").to_numpy(), FRAGMENTS)), pa.array(np.tile(np.arange(FRAGMENTS, dtype=np.int32), len(sets))),
                  list_column(np.concatenate(sets).view(np.int64), np.cumsum(sizes), pa.int64())],
-                ["set", "fragment", "keys"],
+                ["doc_id", "fragment", "keys"],
             )
 
-    return docs.join(wanted, "doc_id").select("set", "text").mapInArrow(run, "set bigint, fragment int, keys array<bigint>")
+    found = docs.join(broadcast_if_few(wanted), "doc_id").select("doc_id", "text").mapInArrow(run, "doc_id bigint, fragment int, keys array<bigint>")
+    return stored(found.dropDuplicates(["doc_id", "fragment"]))
 
 
-def _links(pairs: DataFrame, segments: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose partial overlaps sum to a link."""
-    one = segments.select(F.col("set").alias("b"), "fragment", F.col("keys").alias("of_b"))
-    two = segments.select(F.col("set").alias("a"), "fragment", F.col("keys").alias("of_a"))
-    counted = (
-        pairs.join(one, "b").join(two, ["a", "fragment"])
-        .select("a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("part"))
-        .groupBy("a", "b").agg(F.sum("part").alias("common"))
-    )
-    of_a, of_b = (sizes.select(F.col("set").alias(x), F.col("n").alias(f"n_{x}")) for x in "ab")
-    return counted.join(of_a, "a").join(of_b, "b").where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b")
-
-
-def _between(signed: DataFrame, rooted: DataFrame, n_tasks: int) -> DataFrame:
-    """Pairs between components that meet in a list and pass the bounds."""
-    n_buckets = n_tasks * BUCKETS_PER_TASK
-    held = checkpointed(signed.where("n > 0").groupBy("set").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix")).join(rooted, "set"))
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            size = np.diff(batch.column("prefix").offsets.to_numpy())
-            keys = batch.column("prefix").flatten().to_numpy().view(U)
-            roots = np.repeat(batch.column("root").to_numpy(), size)
-            order = np.lexsort((roots, keys))
-            keys, roots = keys[order], roots[order]
-            begins, sizes = groups(keys)
-            if len(begins):
-                yield packed(keys[begins], n_buckets, {"key": keys[begins], "low": roots[begins], "high": roots[begins + sizes - 1]})
-
-    def mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if all_ := unpacked(batches, {"key": U, "low": np.int64, "high": np.int64}):
-            order = np.argsort(all_["key"], kind="stable")
-            keys = all_["key"][order]
-            begins, _ = groups(keys)
-            several = np.minimum.reduceat(all_["low"][order], begins) != np.maximum.reduceat(all_["high"][order], begins)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[begins][several].view(np.int64))], ["key"])
-
-    lists = dealt(held.select("prefix", "root").mapInArrow(emit, packed_schema("key", "low", "high")), n_tasks).mapInArrow(mixed, "key bigint")
-    entries = held.select("set", "n", "root", F.posexplode("prefix").alias("place", "key")).join(lists, "key")
-    entries = checkpointed(entries)
-    a = entries.select("key", *(F.col(c).alias(f"{c}_a") for c in ("set", "n", "root", "place")))
-    b = entries.select("key", *(F.col(c).alias(f"{c}_b") for c in ("set", "n", "root", "place")))
-    # A linked pair's first common shingle leaves room for the overlap that the link needs.
+def _links(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
+    """Pairs (a, b) whose partial overlaps, counted fragment by fragment, sum to a link."""
+    wanted = checkpointed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    segments = _segments(docs, wanted, common)
+    one = segments.select(F.col("doc_id").alias("b"), "fragment", F.col("keys").alias("of_b"))
+    two = segments.select(F.col("doc_id").alias("a"), "fragment", F.col("keys").alias("of_a"))
+    parts = pairs.join(one, "b").join(two, ["a", "fragment"]).select(
+        "a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("common"), F.size("of_a").alias("n_a"), F.size("of_b").alias("n_b")
+    )
+    summed = parts.groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("common", "n_a", "n_b")))
+    return checkpointed(summed.where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b"))
+
+
+def _between(lists: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of first documents of sets, in different components, that meet in a list and pass the bounds."""
+    rooted = roots.select(F.col("node").alias("doc_id"), "root")
+    entries = lists.select("key", "doc_id", "place").join(firsts, "doc_id").join(rooted, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    entries = stored(entries.join(mixed, "key", "left_semi").distinct())
+    a, b = (entries.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "place"))) for side in "ab")
+    # The first common shingle of a link leaves room for the overlap that the link needs.
     return (
         a.join(b, "key")
-        .where("root_a <> root_b and set_a < set_b and 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+        .where("root_a <> root_b and doc_id_a < doc_id_b and 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
         .where("9 * least(n_a - place_a, n_b - place_b) >= 4 * (n_a + n_b)")
-        .select(F.col("set_a").alias("a"), F.col("set_b").alias("b")).distinct()
+        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
     )
 
 
@@ -243,23 +215,26 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     source = docs.select(F.col(f"`{id}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     n_tasks = slices(source)
     common = spark.sparkContext.broadcast(_common(source, n_tasks))
-    every = checkpointed(_signatures(source, common))
-    signed = every.where("doc_id is not null")
-    led = _leaders(signed, n_tasks)
-    pairs = checkpointed(led.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")))
-    candidates = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    facts = checkpointed(signed.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")).join(candidates, "set"))
-    segments = checkpointed(_segments(source, facts.select("doc_id", "set"), common).dropDuplicates(["set", "fragment"]))
-    links = checkpointed(_links(pairs, segments, facts))
+    facts = checkpointed(_facts(source))
+    named = source.where("doc_id is not null")
+    lists = stored(_lists(named, common, n_tasks))
+    sets = facts.where("doc_id is not null and n > 0")
+    firsts = checkpointed(sets.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
+    equal = sets.join(firsts.select("set", F.col("doc_id").alias("b")), "set").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
+    met = lists.where("doc_id <> leader").groupBy("doc_id", "leader").agg(F.count("*").alias("c"))
+    met = met.groupBy("doc_id").agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("leader"))
+    # One document stands for each set.
+    first_of = sets.join(firsts.select("set", F.col("doc_id").alias("first")), "set").select("doc_id", "first").distinct()
+    pairs = checkpointed(
+        met.join(first_of.withColumnRenamed("first", "b"), "doc_id").join(first_of.select(F.col("doc_id").alias("leader"), F.col("first").alias("a")), "leader")
+        .where("a <> b").select("a", "b").distinct()
+    )
+    links = _links(pairs, named, common).union(equal)
     roots = components(links)
-    rooted = facts.select("set").join(roots.select(F.col("node").alias("set"), "root"), "set", "left").select("set", F.coalesce("root", "set").alias("root"))
-    more = _between(signed, rooted, n_tasks)
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = checkpointed(_links(checkpointed(more.join(done, ["a", "b"], "left_anti")), segments, facts))
-    roots = components(links.union(more)) if more.limit(1).count() else roots
-    whole = every.select("doc_id", "set", F.col("n").cast("bigint").alias("n_shingles")).join(roots.withColumnRenamed("node", "set"), "set", "left")
-    whole = whole.withColumn("root", F.coalesce("root", "set"))
-    least = whole.where("n_shingles > 0 and doc_id is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return whole.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    more = checkpointed(_between(lists, firsts.select("doc_id", "n"), roots).join(done, ["a", "b"], "left_anti"))
+    if more.limit(1).count():
+        more = _links(more, named, common)
+        roots = components(links.union(more))
+    rooted = roots.select(F.col("node").alias("doc_id"), "root")
+    return facts.join(rooted, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
