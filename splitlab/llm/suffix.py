@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ from splitlab.llm.common import (
 )
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 SPREAD = LENGTH - GRAM + 1  # grams in a string
 WIDEST = LENGTH + SPREAD - 1  # longest phrase
 
@@ -60,10 +61,13 @@ class Triggers:
         self.at = np.zeros(0, np.int64)
         if n < LENGTH:
             return
-        room = np.zeros(n + 16, np.uint8)
+        room = np.zeros(n + GRAM, np.uint8)
         room[:n] = data
-        word = np.ndarray((n + 8,), "<u8", room.tobytes(), strides=(1,))
-        h = mix(word[: n - GRAM + 1] * U(0x9E3779B97F4A7C15) + mix(word[8 : n - GRAM + 9] * U(0xC2B2AE3D27D4EB4F)))
+        word = np.ndarray((n + GRAM - 7,), "<u8", room.tobytes(), strides=(1,))
+        parts = (word[k : k + n - GRAM + 1] for k in (*range(0, GRAM - 8, 8), GRAM - 8))
+        h = np.zeros(n - GRAM + 1, U)
+        for part in parts:
+            h = mix((h + part) * U(0x9E3779B97F4A7C15))
         h |= U(1)
         least = _slide(h, np.minimum, SPREAD)
         inside = np.zeros(len(least), bool)  # strings that lie in one row
@@ -206,6 +210,11 @@ def _repeats(parsed: DataFrame, n_tasks: int) -> DataFrame:
             yield with_base(packed(key[once], n_buckets, none | {"name": name[once], "text": text[once]}), base)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(batches) if (batches := [b for b in batches if b.num_rows]) else None
+        for bucket in pc.unique(held["bucket"]).to_pylist() if held is not None else ():  # equal strings share a bucket
+            yield from judged(held.filter(pc.equal(held["bucket"], bucket)).to_batches())
+
+    def judged(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_ = unpacked_docs(batches, {"name": U, "text": phrase, "of": U, "doc": np.uint32, "place": np.uint32})
         if not all_ or not len(all_["of"]):
             return
