@@ -29,12 +29,14 @@ from splitlab.llm.common import (
 from splitlab.llm.components import components
 
 # A shingle counts as common beyond this many documents; at most COMMON_KEPT of them, the most frequent, are moved to the end of the order.
-COMMON = 48
+COMMON = 16
 COMMON_KEPT = 200_000
 # A list that has more members in one task is cut: the task's members form a list of their own, whose leader joins the shared one.
 LIST_PART = 64
 FRAGMENTS = 4
 _CLASS_BITS = U(58)
+# Sizes of a link are within 0.8 of each other, and behind its first common shingle both sets have room for the overlap it needs.
+BOUNDS = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b) and 9 * least(n_a - place_a, n_b - place_b) >= 4 * (n_a + n_b)"
 
 
 def _least_overlap(n):
@@ -112,7 +114,7 @@ def _facts(docs: DataFrame) -> DataFrame:
 
 
 def _lists(docs: DataFrame, common, n_tasks: int) -> DataFrame:
-    """(doc_id, key, place, leader): entries of the lists with several documents, by the first fifths of their sets."""
+    """(doc_id, key, place, leader, leader_place): entries of the lists with several documents, by the first fifths of their sets."""
     n_buckets = n_tasks * BUCKETS_PER_TASK
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,11 +148,12 @@ def _lists(docs: DataFrame, common, n_tasks: int) -> DataFrame:
         begins, sizes = groups(key)
         several = (np.minimum.reduceat(doc, begins) != np.maximum.reduceat(doc, begins)) | (part[begins] > 0)
         several, leader = np.repeat(several, sizes), np.repeat(doc[begins], sizes)
-        columns = [doc[several], short(key[several]).view(np.int64), place[several], leader[several]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "key", "place", "leader"])
+        leading = np.repeat(place[begins], sizes)
+        columns = [doc[several], short(key[several]).view(np.int64), place[several], leader[several], leading[several]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "key", "place", "leader", "leader_place"])
 
     sent = dealt(docs.mapInArrow(emit, packed_schema("key", "doc", "place", "part") + ", base bigint"), n_tasks)
-    return sent.mapInArrow(lead, "doc_id bigint, key bigint, place int, leader bigint")
+    return sent.mapInArrow(lead, "doc_id bigint, key bigint, place int, leader bigint, leader_place int")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, common) -> DataFrame:
@@ -192,11 +195,9 @@ def _between(lists: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame
     mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     entries = stored(entries.join(mixed, "key", "left_semi").distinct())
     a, b = (entries.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "place"))) for side in "ab")
-    # The first common shingle of a link leaves room for the overlap that the link needs.
     return (
         a.join(b, "key")
-        .where("root_a <> root_b and doc_id_a < doc_id_b and 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
-        .where("9 * least(n_a - place_a, n_b - place_b) >= 4 * (n_a + n_b)")
+        .where("root_a <> root_b and doc_id_a < doc_id_b").where(BOUNDS)
         .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
     )
 
@@ -221,7 +222,11 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     sets = facts.where("doc_id is not null and n > 0")
     firsts = checkpointed(sets.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
     equal = sets.join(firsts.select("set", F.col("doc_id").alias("b")), "set").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
-    met = lists.where("doc_id <> leader").groupBy("doc_id", "leader").agg(F.count("*").alias("c"))
+    met = lists.where("doc_id <> leader").groupBy("doc_id", "leader").agg(
+        F.count("*").alias("c"), F.min("place").alias("place_a"), F.min("leader_place").alias("place_b")
+    )
+    sizes = sets.groupBy("doc_id").agg(F.max("n").alias("n_a"))
+    met = met.join(sizes, "doc_id").join(sizes.select(F.col("doc_id").alias("leader"), F.col("n_a").alias("n_b")), "leader").where(BOUNDS)
     met = met.groupBy("doc_id").agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("leader"))
     # One document stands for each set.
     first_of = sets.join(firsts.select("set", F.col("doc_id").alias("first")), "set").select("doc_id", "first").distinct()
