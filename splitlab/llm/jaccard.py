@@ -113,13 +113,21 @@ def _facts(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, set bigint, n bigint")
 
 
+# Marks the leader of a cut list in the shared one.
+CUT = 0xFFFF
+
+
 def _lists(docs: DataFrame, common, n_tasks: int) -> DataFrame:
-    """(doc_id, key, place, leader, leader_place): entries of the lists with several documents, by the first fifths of their sets."""
+    """(doc_id, key, place, n, leader, leader_place, leader_n): entries of the lists with several documents.
+
+    The lists are those of the first fifths of the sets. An entry that has nobody of a like size in its list goes.
+    """
     n_buckets = n_tasks * BUCKETS_PER_TASK
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in near_ids(batches):
-            prefixes = [short(_prefix(k)) for k in Sets(batch.column("text"), common.value).keys]
+            sets = Sets(batch.column("text"), common.value).keys
+            prefixes = [short(_prefix(k)) for k in sets]
             size = np.array(list(map(len, prefixes)))
             key = np.concatenate(prefixes)
             if not len(key):
@@ -127,33 +135,42 @@ def _lists(docs: DataFrame, common, n_tasks: int) -> DataFrame:
             ids = batch.column("doc_id").to_numpy()
             place = np.arange(len(key)) - np.repeat(np.cumsum(size) - size, size)
             order = np.lexsort((place, key))
-            key, place, doc = key[order], place[order].astype(np.uint32), np.repeat(ids - ids.min(), size)[order].astype(np.uint32)
+            key, place = key[order], place[order].astype(np.uint32)
+            doc = np.repeat(ids - ids.min(), size)[order].astype(np.uint32)
+            n = np.repeat(np.array(list(map(len, sets))), size)[order].astype(np.uint32)
             begins, sizes = groups(key)
             cut = np.repeat(sizes > LIST_PART, sizes)
             shared = ~cut
             shared[begins] = True
-            part = int(mix(np.array([ids.min()], np.int64).view(U))[0]) & 0xFFFF | 1
-            for some, salt in ((shared, 0), (cut, part)):
+            own = int(mix(np.array([ids.min()], np.int64).view(U))[0]) % (CUT - 1) + 1
+            for some, part in ((shared, np.where(cut, CUT, 0)), (cut, np.full(len(key), own))):
                 if some.any():
-                    columns = {"key": six_bytes(key[some]), "doc": doc[some], "place": place[some], "part": np.full(some.sum(), salt, np.uint16)}
-                    yield with_base(packed(key[some] + U(salt << 48), n_buckets, columns), int(ids.min()))
+                    columns = {"key": six_bytes(key[some]), "doc": doc[some], "place": place[some], "n": n[some], "part": part[some].astype(np.uint16)}
+                    salt = np.where(part[some] == CUT, 0, part[some]).astype(U)
+                    yield with_base(packed(key[some] + (salt << U(48)), n_buckets, columns), int(ids.min()))
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_ = unpacked_docs(batches, {"key": SIX, "doc": np.uint32, "place": np.uint32, "part": np.uint16})
+        all_ = unpacked_docs(batches, {"key": SIX, "doc": np.uint32, "place": np.uint32, "n": np.uint32, "part": np.uint16})
         if not all_:
             return
-        key = from_six_bytes(all_["key"]) + (all_["part"].astype(U) << U(48))
+        part = all_["part"]
+        key = from_six_bytes(all_["key"]) + (np.where(part == CUT, 0, part).astype(U) << U(48))
+        order = np.lexsort((all_["n"], key))
+        k, n = key[order], all_["n"][order].astype(np.int64)
+        next_to = (k[1:] == k[:-1]) & (4 * n[1:] <= 5 * n[:-1])
+        like = np.zeros(len(key), bool)
+        like[order] = np.r_[next_to, False] | np.r_[False, next_to]
         order = np.lexsort((all_["doc"], all_["place"], key))
-        key, doc, place, part = key[order], all_["doc"][order], all_["place"][order].astype(np.int32), all_["part"][order]
+        key, doc, place, n, part, like = key[order], all_["doc"][order], all_["place"][order].astype(np.int32), all_["n"][order].astype(np.int64), part[order], like[order]
         begins, sizes = groups(key)
-        several = (np.minimum.reduceat(doc, begins) != np.maximum.reduceat(doc, begins)) | (part[begins] > 0)
-        several, leader = np.repeat(several, sizes), np.repeat(doc[begins], sizes)
-        leading = np.repeat(place[begins], sizes)
-        columns = [doc[several], short(key[several]).view(np.int64), place[several], leader[several], leading[several]]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc_id", "key", "place", "leader", "leader_place"])
+        wide = np.repeat(np.maximum.reduceat(part, begins) > 0, sizes)
+        first = np.repeat(begins, sizes)
+        kept = wide | like
+        columns = [doc, short(key).view(np.int64), place, n, doc[first], place[first], n[first]]
+        yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in columns], ["doc_id", "key", "place", "n", "leader", "leader_place", "leader_n"])
 
-    sent = dealt(docs.mapInArrow(emit, packed_schema("key", "doc", "place", "part") + ", base bigint"), n_tasks)
-    return sent.mapInArrow(lead, "doc_id bigint, key bigint, place int, leader bigint, leader_place int")
+    sent = dealt(docs.mapInArrow(emit, packed_schema("key", "doc", "place", "n", "part") + ", base bigint"), n_tasks)
+    return sent.mapInArrow(lead, "doc_id bigint, key bigint, place int, n bigint, leader bigint, leader_place int, leader_n bigint")
 
 
 def _segments(docs: DataFrame, wanted: DataFrame, common) -> DataFrame:
@@ -188,16 +205,15 @@ def _links(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
     return checkpointed(summed.where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b"))
 
 
-def _between(lists: DataFrame, firsts: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of first documents of sets, in different components, that meet in a list and pass the bounds."""
-    rooted = roots.select(F.col("node").alias("doc_id"), "root")
-    entries = lists.select("key", "doc_id", "place").join(firsts, "doc_id").join(rooted, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+def _between(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs of documents in different components that meet in a list and pass the bounds."""
+    rooted = broadcast_if_few(roots.select(F.col("node").alias("doc_id"), "root"))
+    entries = lists.select("key", "doc_id", "place", "n").join(rooted, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    entries = stored(entries.join(mixed, "key", "left_semi").distinct())
+    entries = entries.join(mixed, "key", "left_semi")
     a, b = (entries.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "place"))) for side in "ab")
     return (
-        a.join(b, "key")
-        .where("root_a <> root_b and doc_id_a < doc_id_b").where(BOUNDS)
+        a.join(b, "key").where("root_a <> root_b and doc_id_a < doc_id_b").where(BOUNDS)
         .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
     )
 
@@ -217,27 +233,19 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     n_tasks = slices(source)
     common = spark.sparkContext.broadcast(_common(source, n_tasks))
     facts = checkpointed(_facts(source))
-    named = source.where("doc_id is not null")
-    lists = stored(_lists(named, common, n_tasks))
     sets = facts.where("doc_id is not null and n > 0")
-    firsts = checkpointed(sets.groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")))
-    equal = sets.join(firsts.select("set", F.col("doc_id").alias("b")), "set").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b")
-    met = lists.where("doc_id <> leader").groupBy("doc_id", "leader").agg(
-        F.count("*").alias("c"), F.min("place").alias("place_a"), F.min("leader_place").alias("place_b")
-    )
-    sizes = sets.groupBy("doc_id").agg(F.max("n").alias("n_a"))
-    met = met.join(sizes, "doc_id").join(sizes.select(F.col("doc_id").alias("leader"), F.col("n_a").alias("n_b")), "leader").where(BOUNDS)
-    met = met.groupBy("doc_id").agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("leader"))
+    firsts = sets.groupBy("set").agg(F.min("doc_id").alias("b"))
+    equal = checkpointed(sets.join(firsts, "set").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"))
     # One document stands for each set.
-    first_of = sets.join(firsts.select("set", F.col("doc_id").alias("first")), "set").select("doc_id", "first").distinct()
-    pairs = checkpointed(
-        met.join(first_of.withColumnRenamed("first", "b"), "doc_id").join(first_of.select(F.col("doc_id").alias("leader"), F.col("first").alias("a")), "leader")
-        .where("a <> b").select("a", "b").distinct()
-    )
+    named = source.where("doc_id is not null").join(broadcast_if_few(equal.select(F.col("a").alias("doc_id")).distinct()), "doc_id", "left_anti")
+    lists = stored(_lists(named, common, n_tasks))
+    bound = BOUNDS.replace("n_a", "n").replace("n_b", "leader_n").replace("place_a", "place").replace("place_b", "leader_place")
+    met = lists.where("doc_id <> leader").where(bound).groupBy("doc_id", "leader").agg(F.count("*").alias("c"))
+    pairs = checkpointed(met.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("a")))
     links = _links(pairs, named, common).union(equal)
     roots = components(links)
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = checkpointed(_between(lists, firsts.select("doc_id", "n"), roots).join(done, ["a", "b"], "left_anti"))
+    more = checkpointed(_between(lists, roots).join(done, ["a", "b"], "left_anti"))
     if more.limit(1).count():
         more = _links(more, named, common)
         roots = components(links.union(more))
