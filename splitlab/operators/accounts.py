@@ -139,8 +139,12 @@ class Account:
 
     # Parts shared by the accounts that read single reservations.
 
+    def of_partner(self, rows: DataFrame) -> DataFrame:
+        """Rows of the account's partner; all rows where it names none."""
+        return rows if self.partner_id is None else rows.where(F.col("partner_id") == self.partner_id)
+
     def affiliates(self, name_pattern: str | None = None) -> DataFrame:
-        rows = self.source("affiliate_table").where(F.col("partner_id") == self.partner_id)
+        rows = self.of_partner(self.source("affiliate_table"))
         if name_pattern is not None:
             rows = rows.where(F.col("name").rlike(name_pattern))
         return rows.select(F.col("id").alias("affiliate_id"), F.col("name").alias("affiliate_name"))
@@ -172,10 +176,10 @@ class Account:
     def cancelled(self, closed: bool = True) -> DataFrame:
         """Reservations cancelled in the window, in an accepted state."""
         rows = self.source("reservation_table").where(
-            in_days(F.col("date_cancelled"), self.start_date, self.end_date, closed) & ~F.col("status").isin(BAD_STATUS)
+            in_days(F.to_date("date_cancelled"), self.start_date, self.end_date, closed) & ~F.col("status").isin(BAD_STATUS)
         )
         return rows.withColumns({
-            DAY: F.col("date_cancelled"), "cancellations": F.lit(1),
+            DAY: F.to_date("date_cancelled"), "cancellations": F.lit(1),
             "cancelled_commission": F.col("commission_amount_euro"), "cancelled_roomnights": F.col("roomnights"),
         })
 
@@ -299,7 +303,7 @@ class SimpleAccount(Account):
         )
 
     def cancellation_rows(self) -> DataFrame:
-        rows = self.cancelled(closed=False).where(F.col("partner_id") == self.partner_id)
+        rows = self.of_partner(self.cancelled(closed=False))
         sales = self.source("affiliate_table").select("affiliate_id", F.col("distribution").alias("pos"))
         return rows.join(sales, "affiliate_id").withColumn(UNIT, F.coalesce("dest_id", UNIT).cast("int"))
 

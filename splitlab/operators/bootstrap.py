@@ -91,6 +91,8 @@ def bootstrap_rdiff(
     conditional average of the same grouping rather than a copy of the rows.
     """
     metrics = series.metrics
+    if period < DAYS_PER_WEEK:  # no whole week: no rows
+        return bootstrap_rdiff(series, salts, DAYS_PER_WEEK, weights, schemes).where("false")
     pairs = paired_days(scheme_days(series, salts, weights, schemes), metrics)
     horizons = [DAYS_PER_WEEK * w for w in range(1, period // DAYS_PER_WEEK + 1)]
     within = {h: F.col("day_rank") <= h for h in horizons}

@@ -27,7 +27,7 @@ class SaltWalk:
 
     def __init__(
         self, series: UnitSeries, salts: SaltSet, config: SplitConfig, version: int = 1,
-        batch_size: int = BATCH_SIZE, test_remainder: bool = False,
+        batch_size: int = BATCH_SIZE, test_remainder: bool = True,
     ):
         self.config, self.metrics, self.batch_size = config, series.metrics, batch_size
         self.days = materialize(salt_days(series, salts, config))
@@ -35,7 +35,7 @@ class SaltWalk:
         # One rank over the salts (at most 100,000 short rows), not over data.
         index = F.row_number().over(Window.orderBy(*loss_order())).cast("bigint") - 1
         self.ranked = materialize(losses.withColumn("index", index))
-        # Whole batches only, unless asked otherwise: a remainder is left untested.
+        # Every salt is tested; ``test_remainder=False`` leaves what is over from whole batches untested.
         self.n_batches = -(-salts.n // batch_size) if test_remainder else salts.n // batch_size
 
     def batch(self, i: int) -> DataFrame:
@@ -53,7 +53,7 @@ class SaltWalk:
 def smart_salt(walk: SaltWalk) -> DataFrame:
     """One row: the salt of lowest loss in the first batch with a stationary salt.
 
-    When no tested batch has one (or fewer salts than a batch exist), the salt of lowest loss,
+    When no tested batch has one, the salt of lowest loss,
     with ``stat_result`` false.
     """
     for i in range(walk.n_batches):
@@ -66,17 +66,17 @@ def smart_salt(walk: SaltWalk) -> DataFrame:
 def smart_salt_table(walk: SaltWalk, min_salts: int = MIN_SALTS, cumulative: bool = False) -> DataFrame:
     """The stationary salts of the first batch that has at least ``min_salts`` of them.
 
-    If none has, those of the last tested batch. With ``cumulative`` the batches walked so far
+    If none has, those of all batches. With ``cumulative`` the batches walked so far
     count together and are returned together.
     """
-    kept, count = None, 0
+    kept, total = None, 0
     for i in range(walk.n_batches):
         passed = materialize(walk.batch(i))
-        if cumulative and kept is not None:
-            kept, count = kept.unionByName(passed), count + passed.count()
-        else:
-            kept, count = passed, passed.count()
-        if count >= min_salts:
+        count = passed.count()
+        kept, total = passed if kept is None else kept.unionByName(passed), total + count
+        if not cumulative and count >= min_salts:
+            return passed
+        if cumulative and total >= min_salts:
             break
     return walk.best().limit(0) if kept is None else kept
 

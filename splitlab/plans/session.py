@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,15 +16,13 @@ def parallelism(spark: SparkSession) -> int:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of a frame that several jobs read, in storage that outlives executors.
 
-    Uses the checkpoint folder the session names. Where none is set, local mode gets a fresh
-    folder; a cluster gets a cached frame, which Spark recomputes when executors are lost.
+    Uses the checkpoint folder the session names. Where none is set, in every mode, the frame is
+    persisted, which Spark recomputes when executors are lost.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and sc.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="splitlab-checkpoint-")
         if not folder:
             return df.persist()
         sc.setCheckpointDir(folder)

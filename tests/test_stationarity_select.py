@@ -121,12 +121,12 @@ def walked(spark, monkeypatch):
     return build
 
 
-def test_remainder_is_not_tested(walked):
-    walk = walked([600])
+def test_remainder_is_tested_unless_left_out(walked):
+    walk = walked([600], test_remainder=False)
     row = select.smart_salt(walk).first()
     assert row["index"] == 0 and row.stat_result is False
     assert select.smart_salt_table(walk).count() == 0
-    full = walked([600], test_remainder=True)
+    full = walked([600])
     assert select.smart_salt(full).first()["index"] == 600
 
 
@@ -140,11 +140,11 @@ def test_table_is_one_batch_or_cumulative(walked):
     walk = walked([1, 2, 101, 102, 103, 205, 650], batch_size=100)
     index = lambda t: sorted(r["index"] for r in t.collect())
     assert index(select.smart_salt_table(walk, 3)) == [101, 102, 103]
-    assert index(select.smart_salt_table(walk, 4)) == [650]
+    assert index(select.smart_salt_table(walk, 4)) == [1, 2, 101, 102, 103, 205, 650]
     assert index(select.smart_salt_table(walk, 4, cumulative=True)) == [1, 2, 101, 102, 103]
 
 
 def test_fewer_salts_than_a_batch(walked):
     walk = walked([3], batch_size=1000)
-    assert select.smart_salt(walk).first()["index"] == 0
-    assert select.smart_salt_table(walk).count() == 0
+    assert select.smart_salt(walk).first()["index"] == 3
+    assert [r["index"] for r in select.smart_salt_table(walk).collect()] == [3]
