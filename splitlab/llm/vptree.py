@@ -46,6 +46,7 @@ class Search:
         self.vectors, self.queries, self.k, self.factor = vectors, queries, k, factor
         self.norms = (queries**2).sum(1)
         self.top = most  # squared length of every lifted row
+        self.scale = np.sqrt(most * max(self.norms.max(), 1e-300))
         self.found = np.full((len(queries), k), -np.inf)
         self.where = np.full((len(queries), k), -1)
 
@@ -57,10 +58,14 @@ class Search:
         if not len(q):
             return
         if tree.point is None:
-            score = self.queries[q] @ self.vectors[tree.rows].T
+            score = np.round(self.queries[q] @ self.vectors[tree.rows].T / self.scale, 12) * self.scale  # rounding noise is no rank
             both = np.concatenate([self.found[q], score], 1)
             where = np.concatenate([self.where[q], np.broadcast_to(tree.rows, score.shape)], 1)
             best = np.argpartition(-both, self.k - 1, axis=1)[:, : self.k]
+            edge = np.take_along_axis(both, best, 1).min(1)
+            tied = np.flatnonzero((both >= edge[:, None]).sum(1) > self.k)  # of equal scores the points of smaller ids stay
+            if len(tied):
+                best[tied] = np.lexsort((where[tied], -both[tied]), axis=-1)[:, : self.k]
             self.found[q] = np.take_along_axis(both, best, 1)
             self.where[q] = np.take_along_axis(where, best, 1)
             return
@@ -69,7 +74,7 @@ class Search:
         self.visit(tree.near, q[first])
         self.visit(tree.far, q[~first])
         for mine, other, gap in ((first, tree.far, tree.outer - d), (~first, tree.near, d - tree.inner)):
-            mine = mine & (np.maximum(gap, 0) * self.factor <= self.radius(q) + 1e-9)
+            mine = mine & (np.maximum(gap, 0) * self.factor <= self.radius(q) * (1 + 1e-6) + 1e-9)
             self.visit(other, q[mine])
 
 
@@ -134,6 +139,8 @@ def nearest(
         by_point = np.argsort(back, kind="stable")
         begins = np.flatnonzero(np.r_[True, np.diff(back[by_point]) > 0])
         sizes = np.minimum(np.diff(np.r_[begins, len(by_point)]), k + 1)
+        in_order = np.argsort(by_point[begins])  # points in the order of their smallest ids
+        begins, sizes = begins[in_order], sizes[in_order]
         points = x[by_point[begins]]
         lifted = np.c_[points, np.sqrt(np.maximum(most - (points**2).sum(1), 0))]
         near = min(len(points), k + 2)  # one for the query itself, one for rounding
