@@ -9,8 +9,11 @@ the common shingles are counted fragment by fragment and the counts summed.
 Links are wanted for components, so a list is not expanded into pairs. First every member is
 compared with one leader of its lists, the set with the list's shingle earliest; equal sets need
 no comparison. Then lists whose members still lie in different components, and only these, give
-all pairs between components that have not been compared and pass the length and position bounds,
-one document for each set: no link is missed, and a group of k near copies costs about k comparisons.
+all pairs between components that have not been compared and pass the length, position and parity
+bounds, one document for each set: no link is missed, and a group of k near copies costs about k
+comparisons. The parity bound rules out most pairs of edited copies below 0.8 inside the join, before
+they become rows: a set folds into PARITY bits, each the parity of the shingles that fall on it, so two
+sets differ in at least as many shingles as their folds differ in bits.
 """
 
 from __future__ import annotations
@@ -34,10 +37,16 @@ COMMON_KEPT = 200_000
 # A list that has more members in one task is cut: the task's members form a list of their own, whose leader joins the shared one.
 LIST_PART = 64
 FRAGMENTS = 4
+# Bits a set folds into, 64 in a column; more bits rule out more pairs of large sets.
+PARITY = 512
+FOLDS = [f"fold{i}" for i in range(PARITY // 64)]
 _CLASS_BITS = U(58)
 # Sizes of a link are within 0.8 of each other, and behind its first common shingle both sets have room for the overlap it needs.
 BOUNDS = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b) and 9 * least(n_a - place_a, n_b - place_b) >= 4 * (n_a + n_b)"
 
+# The sets of a link differ in at most a ninth of their summed sizes; a fold may be NULL and then rules out nothing.
+PARITY_BOUND = "coalesce(9 * (" + " + ".join(f"bit_count({f}_a ^ {f}_b)" for f in FOLDS) + ") <= n_a + n_b, true)"
+
 
 def _least_overlap(n):
     """Shingles that a set of n must share with any set it links to: ceil(0.8 n)."""
@@ -101,16 +110,25 @@ def _digest(keys: np.ndarray) -> int:
         return int((mix(keys ^ U(0x5851F42D4C957F2D)).sum(dtype=U) * U(0x2545F4914F6CDD1D) + U(len(keys))).view(np.int64))
 
 
+def _folds(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of PARITY bits for each set, as signed 64-bit numbers."""
+    rows = np.repeat(np.arange(len(sets)), list(map(len, sets)))
+    bits = (np.concatenate(sets) >> U(7)).astype(np.int64) % PARITY
+    odd = np.bincount(rows * PARITY + bits, minlength=len(sets) * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(sets), len(FOLDS))
+
+
 def _facts(docs: DataFrame) -> DataFrame:
-    """doc_id, set number and size of each row."""
+    """doc_id, set number, size and folds of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             sets = Sets(batch.column("text")).keys
             columns = [batch.column("doc_id"), pa.array(list(map(_digest, sets)), pa.int64()), pa.array(list(map(len, sets)), pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set", "n"])
+            columns += [pa.array(fold) for fold in _folds(sets).T]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "set", "n", *FOLDS])
 
-    return docs.mapInArrow(run, "doc_id bigint, set bigint, n bigint")
+    return docs.mapInArrow(run, "doc_id bigint, set bigint, n bigint, " + ", ".join(f"{f} bigint" for f in FOLDS))
 
 
 # Marks the leader of a cut list in the shared one.
@@ -205,15 +223,17 @@ def _links(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
     return checkpointed(summed.where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b"))
 
 
-def _between(lists: DataFrame, roots: DataFrame) -> DataFrame:
+def _between(lists: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of documents in different components that meet in a list and pass the bounds."""
+    one_set = F.min("set") == F.max("set")  # an id with several texts has no fold
+    folded = sets.groupBy("doc_id").agg(*(F.when(one_set, F.min(f)).alias(f) for f in FOLDS))
     rooted = broadcast_if_few(roots.select(F.col("node").alias("doc_id"), "root"))
     entries = lists.select("key", "doc_id", "place", "n").join(rooted, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    entries = entries.join(mixed, "key", "left_semi")
-    a, b = (entries.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "place"))) for side in "ab")
+    entries = entries.join(mixed, "key", "left_semi").join(folded, "doc_id")
+    a, b = (entries.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "place", *FOLDS))) for side in "ab")
     return (
-        a.join(b, "key").where("root_a <> root_b and doc_id_a < doc_id_b").where(BOUNDS)
+        a.join(b, "key").where("root_a <> root_b and doc_id_a < doc_id_b").where(BOUNDS).where(PARITY_BOUND)
         .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
     )
 
@@ -245,7 +265,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     links = _links(pairs, named, common).union(equal)
     roots = components(links)
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = checkpointed(_between(lists, roots).join(done, ["a", "b"], "left_anti"))
+    more = checkpointed(_between(lists, roots, sets).join(done, ["a", "b"], "left_anti"))
     if more.limit(1).count():
         more = _links(more, named, common)
         roots = components(links.union(more))

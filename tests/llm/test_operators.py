@@ -86,6 +86,18 @@ def test_jaccard_star_of_variants(spark):
     assert got == components_of(rows)
 
 
+def test_folds_never_rule_out_a_link():
+    rng = np.random.default_rng(5)
+    for n, changed in ((1, 0), (30, 3), (300, 30), (300, 34), (3000, 330)):
+        one = rng.integers(0, 1 << 58, n, np.uint64)
+        two = np.concatenate([one[changed:], rng.integers(0, 1 << 58, changed, np.uint64)])
+        folds = jaccard._folds([np.unique(one), np.unique(two), np.zeros(0, np.uint64)])
+        apart = sum(int(x).bit_count() for x in (folds[0] ^ folds[1]).view(np.uint64))
+        assert apart <= 2 * changed and not folds[2].any()
+        if 100 * (n - changed) >= 80 * (n + changed):
+            assert 9 * apart <= 2 * n
+
+
 def test_jaccard_on_awkward_rows(spark, odd, empty):
     got = sorted(map(tuple, jaccard.similar(odd).collect()), key=str)
     assert len(got) == len(ROWS)
