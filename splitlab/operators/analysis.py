@@ -83,19 +83,20 @@ def welch_ttest(series: DataFrame, dimension: Sequence[str] = (), pvalues: bool
     """Welch test of test against control per comparison.
 
     t, df and the confidence interval are for test minus control, the differences for control
-    against test. With a single day t, interval and p are -99.
+    against test. A missing value counts on neither its own side's n nor its variance; ``n`` is
+    the number of days. With a single value on a side t, interval and p are -99.
     """
     pairs = pair_days(series, dimension=dimension).withColumns({"comparison": _comparison(), "pair_logic": _logic()})
     keys = ["comparison", "pair_logic", *dimension]
     stats = pairs.groupBy(*keys).agg(
-        F.count("*").alias("n"),
+        F.count("*").alias("n"), F.count("x_value").alias("nx"), F.count("y_value").alias("ny"),
         F.avg("x_value").alias("mx"), F.avg("y_value").alias("my"),
         F.var_samp("x_value").alias("vx"), F.var_samp("y_value").alias("vy"),
         mean_if_all_defined(safe_ratio(F.col("x_value"), F.col("y_value"))).alias("ratio"),
         F.avg(F.col("x_value") - F.col("y_value")).alias("mean_abs_diff"),
     )
-    ex, ey, single = F.col("vx") / F.col("n"), F.col("vy") / F.col("n"), F.col("n") == 1
-    freedom = safe_ratio(F.pow(ex + ey, 2), (ex * ex + ey * ey) / (F.col("n") - 1))
+    ex, ey, single = safe_ratio(F.col("vx"), F.col("nx")), safe_ratio(F.col("vy"), F.col("ny")), F.least("nx", "ny") == 1
+    freedom = safe_ratio(F.pow(ex + ey, 2), safe_ratio(ex * ex, F.col("nx") - 1) + safe_ratio(ey * ey, F.col("ny") - 1))
     stats = stats.withColumns({"se": F.sqrt(ex + ey), "df": F.when(~single, freedom)})
     stats = stats.withColumn("t", safe_ratio(F.col("my") - F.col("mx"), F.col("se")))
 
@@ -125,6 +126,7 @@ def did(series: DataFrame, pvalues: bool = True) -> DataFrame:
 
     Least squares with two binary factors and their interaction fits the four cell means, so
     the estimate and its error follow from counts, means and squared deviations of the cells.
+    Missing values do not count. A comparison without values in one of the cells has NULL estimates.
     """
     pairs = pair_days(series).withColumn("comparison", _logic())
 
@@ -137,14 +139,16 @@ def did(series: DataFrame, pvalues: bool = True) -> DataFrame:
 
     rows = pairs.select("comparison", F.inline(F.array(side("x", 0), side("y", 1))))
     cells = rows.groupBy("comparison", "treat", "after").agg(
-        F.count("*").alias("n"), F.avg("value").alias("mean"), (F.var_pop("value") * F.count("*")).alias("ss")
+        F.count("value").alias("n"), F.avg("value").alias("mean"), (F.var_pop("value") * F.count("value")).alias("ss")
     )
     sign = F.when(F.col("treat") == F.col("after"), 1).otherwise(-1)
     total = cells.groupBy("comparison").agg(
-        F.count("*").alias("cells"), F.sum("n").alias("n"), F.sum(sign * F.col("mean")).alias("estimate"),
-        F.sum("ss").alias("sse"), F.sum(1 / F.col("n")).alias("inverse"),
-    ).where(F.col("cells") == 4)
-    df = F.col("n") - 4
+        F.count("mean").alias("cells"), F.sum("n").alias("n"), F.sum(sign * F.col("mean")).alias("estimate"),
+        F.sum("ss").alias("sse"), F.sum(F.when(F.col("n") > 0, 1 / F.col("n"))).alias("inverse"),
+    )
+    whole = F.col("cells") == 4
+    total = total.withColumns({"estimate": F.when(whole, F.col("estimate")), "sse": F.when(whole, F.col("sse"))})
+    df = F.when(whole, F.col("n") - 4)
     fitted = total.select(
         "comparison", "estimate", F.sqrt(safe_ratio(F.col("sse"), df) * F.col("inverse")).alias("std_error"), df.alias("df")
     ).withColumn("t_value", safe_ratio(F.col("estimate"), F.col("std_error")))

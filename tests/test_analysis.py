@@ -93,6 +93,21 @@ def test_did_equals_least_squares(spark, frame):
     assert row.significant == (row.p_value < 0.05)
 
 
+def test_missing_values_count_on_no_side(spark, frame):
+    gap = (F.col("group") == "control-2-pre") & (F.col("date") == START)
+    holes = series(spark, frame).withColumn("value", F.when(~gap, F.col("value")))
+    row = {r.comparison: r for r in analysis.did(holes).collect()}["control2 X test2"]
+    assert row.df == 80 - 1 - 4
+    welch = {r.logic + r.comparison: r for r in analysis.welch_ttest(holes).collect()}
+    x = frame[frame.logic == "control2"].value.to_numpy()[1:]
+    y = frame[frame.logic == "test2"].value.to_numpy()
+    ex, ey = x.var(ddof=1) / 39, y.var(ddof=1) / 40
+    t, df = (y.mean() - x.mean()) / np.sqrt(ex + ey), (ex + ey) ** 2 / (ex**2 / 38 + ey**2 / 39)
+    assert any((r.t_stat, r.df) == pytest.approx((t, df)) for r in welch.values()), (t, df, welch)
+    no_cell = {r.comparison: r for r in analysis.did(series(spark, frame[frame.group != "test-2-post"])).collect()}
+    assert no_cell["control2 X test2"].estimate is None and no_cell["control1 X test1"].estimate is not None
+
+
 @pytest.mark.parametrize("season", [None, 7])
 def test_counterfactual_finds_the_effect(spark, frame, season):
     rows = analysis.counterfactual_effect(series(spark, frame), season).where("comparison = 'control-1 X test-1'")
