@@ -1,9 +1,9 @@
 """Secrets in texts: fixed forms, and tokens that a battery of randomness tests takes for keys.
 
 Everything here is built-in expressions. Fixed forms are found by pattern. Other candidates are
-runs of 20 or more key characters with letters and digits. The encoding of each (hex, base32,
-base64, base64url) is inferred from its characters; over that alphabet it must pass three tests of
-randomness: chi-squared uniformity, runs above and below the middle, and lag-1 serial correlation.
+runs of 20 or more key characters with two of digits, lower- and upper-case letters. The encoding of
+each (hex, base32, base36, letters, base62, base64, base64url) is the smallest alphabet that holds
+its characters; over that alphabet it must pass three tests of randomness: chi-squared uniformity, runs above and below the middle, and lag-1 serial correlation.
 Against the hypothesis "ordinary word" (whose character class changes at few places) the number of
 class changes gives a p-value by Chernoff's bound. Benjamini-Hochberg within strata of length
 controls the share of ordinary words among the reported ones.
@@ -22,11 +22,20 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}"  # the leftmost runs of [0-9a-f]+ that are long enough are these
 KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+_UPPER, _LOWER, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Encodings, most specific first: hex of one case, base32, base36, letters, base62, base64, base64url, both of the latter mixed.
+#: A key that happens to fit a smaller alphabet is as random over that one.
 ALPHABETS = (
-    ("^([0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef", True),
-    ("^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", False),
-    ("^[A-Za-z0-9+/]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", False),
-    ("^[A-Za-z0-9_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", False),
+    ("^([0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef"),
+    ("^[A-Z2-7]+=*$", _UPPER + "234567"),
+    ("^[a-z2-7]+=*$", _LOWER + "234567"),
+    ("^[0-9A-Z]+=*$", _DIGITS + _UPPER),
+    ("^[0-9a-z]+=*$", _DIGITS + _LOWER),
+    ("^[A-Za-z]+=*$", _UPPER + _LOWER),
+    ("^[A-Za-z0-9]+=*$", _UPPER + _LOWER + _DIGITS),
+    ("^[A-Za-z0-9+/]+=*$", _UPPER + _LOWER + _DIGITS + "+/"),
+    ("^[A-Za-z0-9_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_"),
+    ("^[A-Za-z0-9+/_-]+=*$", _UPPER + _LOWER + _DIGITS + "+/-_"),
 )
 #: Shortest token of each length stratum.
 STRATA = (20, 32, 48, 96)
@@ -68,12 +77,14 @@ def _matches(df: DataFrame, name: str, pattern: str, group: int = 0) -> DataFram
 
 def _tested(df: DataFrame) -> DataFrame:
     """Column __tested: candidates with the stratum of their length and the bin of their p-value, -1 if not random."""
-    alphabet = "case " + " ".join(f"when x.token rlike '{p}' then '{a}'" for p, a, _ in ALPHABETS) + " end"
+    alphabet = "case " + " ".join(f"when x.token rlike '{p}' then '{a}'" for p, a in ALPHABETS) + " end"
     plain = f"if(x.token rlike '{ALPHABETS[0][0]}', lower(x.token), rtrim('=', x.token))"
     classes = "translate(x.token, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789', repeat('A', 26) || repeat('a', 26) || repeat('0', 10))"
+    # A token of one class has no evidence against the ordinary word.
+    several = "(x.token rlike '[0-9]' and x.token rlike '[A-Za-z]' or x.token rlike '[a-z]' and x.token rlike '[A-Z]')"
     steps = [
         # token, its alphabet, its characters as letters of classes
-        f"""transform(filter(__found, x -> x.token rlike '[0-9]' and x.token rlike '[A-Za-z]'), x -> named_struct(
+        f"""transform(filter(__found, x -> {several}), x -> named_struct(
             'start', x.start, 'end', x.end, 'alphabet', {alphabet}, 'plain', {plain}, 'classes', {classes}))""",
         """transform(filter(__t, x -> x.alphabet is not null and length(x.plain) >= 2), x -> named_struct('start', x.start, 'end', x.end,
             'k', length(x.alphabet), 'n', length(x.plain),

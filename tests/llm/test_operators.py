@@ -239,6 +239,28 @@ def test_secrets_random_tokens_and_awkward_rows(spark, odd, empty):
     assert secrets.redact(odd).columns == odd.columns
 
 
+def test_secrets_random_keys_of_each_encoding(spark):
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    both = upper + lower
+    encodings = {
+        "hex": digits + "abcdef", "base32": upper + "234567", "base32 lower": lower + "234567", "base36": digits + lower, "base36 upper": digits + upper,
+        "letters": both, "base62": both + digits, "base64": both + digits + "+/", "base64url": both + digits + "-_", "mixed": both + digits + "+/-_",
+    }
+    random = np.random.default_rng(5)
+    rows = [
+        (name, n, "".join(random.choice(list(letters), n)))
+        for name, letters in encodings.items() for n in (32, 48, 64, 80, 128, 256, 512) for _ in range(60)
+    ]
+    keys = spark.createDataFrame(rows, "name string, n int, text string").repartition(8)
+    tested = secrets._tested(secrets._matches(keys.withColumn("__text", keys.text), "__found", secrets.CANDIDATE))
+    found = Counter((r.name, r.n) for r in tested.collect() if any(t.bin >= 0 for t in r["__tested"]))
+    assert all(found[name, n] >= 56 for name, n, _ in rows), found
+    told = Counter(r.name for r in secrets.scan(keys.where("n >= 64")).collect() if any(s.kind in (2, 3) and s.end - s.start == r.n for s in r.secrets))
+    assert all(told[name] >= 285 for name in encodings), told
+    words = [("a", 1, "well-known-state-of-the-art/of-the-craft"), ("b", 1, "antidisestablishmentarianism"), ("c", 1, "x" * 60), ("d", 1, "-" * 60)]
+    assert not any(r.secrets for r in secrets.scan(spark.createDataFrame(words, "name string, n int, text string")).collect())
+
+
 def test_personal_data(spark, odd, empty):
     assert pii.fixed("a@b.co, 1.2.3.4, 4111 1111 1111 1111, +49 (30) 1234567 x@y") == [(0, 0, 6), (8, 1, 15), (17, 2, 36), (38, 3, 54)]
     assert pii.fixed("a@b.com_x@d.org") == [(0, 0, 7), (7, 0, 15)]
