@@ -4,13 +4,15 @@ The fixed forms (e-mail, IP, card and phone numbers) are found by pattern; their
 protected entities. Over the whole corpus it is counted in how many documents each word occurs,
 and in how many it stands within CONTEXT words of each entity. The share of a word's documents
 that name one entity near it estimates P(entity | word): how much the word alone discloses. A
-word seen with an entity in at least SEEN different surroundings is generalised where that share
-reaches GENERALISE and removed where it reaches REMOVE, wherever it stands.
+word that stands near an entity in at least SEEN documents is generalised where that share reaches
+GENERALISE and removed where it reaches REMOVE, wherever it stands. Documents with the same text
+count once, in both numbers.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -77,8 +79,9 @@ def disclosing(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, share, entities): hashes of the words that disclose an entity, by the counts of all documents."""
     source = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     n_tasks = slices(source)
+    source = source.distinct()
     n_buckets = n_tasks * BUCKETS_PER_TASK
-    kinds = {"word": U, "n": np.int64, "near": U, "entity": np.int64, "around": np.int64}
+    kinds = {"word": U, "n": np.int64, "near": U, "entity": np.int64, "met": np.int64}
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = {name: np.zeros(0, kind) for name, kind in kinds.items()}
@@ -114,12 +117,11 @@ def disclosing(docs: DataFrame, text: str = "text") -> DataFrame:
                     mine = words.hashes[words.first[i] : words.last[i]]
                     around = np.unique(np.r_[mine[max(first - CONTEXT, 0) : max(first, 0)], mine[last + 1 : last + 1 + CONTEXT]])
                     entity = mix(np.array([hash_text(_entity(value, span))], U)).view(np.int64)[0]
-                    setting = np.bitwise_xor.reduce(around).view(np.int64) if len(around) else 0
-                    near += [(w, entity, setting, i) for w in around]
+                    near += [(w, entity, i) for w in around]
             if near:
-                near = sorted(set(near))
-                word = np.array([x[0] for x in near], U)
-                yield packed(word, n_buckets, none | {"near": word, "entity": np.array([x[1] for x in near], np.int64), "around": np.array([x[2] for x in near], np.int64)})
+                met = Counter((w, entity) for w, entity, _ in set(near))
+                word = np.array([w for w, _ in met], U)
+                yield packed(word, n_buckets, none | {"near": word, "entity": np.array([e for _, e in met], np.int64), "met": np.array(list(met.values()), np.int64)})
         if held:
             counted()
             yield packed(held[0][0], n_buckets, none | {"word": held[0][0], "n": held[0][1]})
@@ -132,14 +134,13 @@ def disclosing(docs: DataFrame, text: str = "text") -> DataFrame:
         word = all_["word"][order]
         begins, _ = groups(word)
         word, documents = word[begins], np.add.reduceat(all_["n"][order], begins)
-        order = np.lexsort((all_["around"], all_["entity"], all_["near"]))
-        near, entity, around = (all_[name][order] for name in ("near", "entity", "around"))
+        order = np.lexsort((all_["entity"], all_["near"]))
+        near, entity, met = (all_[name][order] for name in ("near", "entity", "met"))
         pair = np.flatnonzero(np.r_[True, (near[1:] != near[:-1]) | (entity[1:] != entity[:-1])])
-        setting = np.r_[True, (near[1:] != near[:-1]) | (entity[1:] != entity[:-1]) | (around[1:] != around[:-1])]
-        settings = np.add.reduceat(setting.astype(np.int64), pair)
-        share = np.diff(np.r_[pair, len(near)]) / documents[np.searchsorted(word, near[pair])]
-        told = (settings >= SEEN) & (share >= GENERALISE)
-        columns = [pa.array(near[pair][told].view(np.int64)), pa.array(np.minimum(share[told], 1.0))]
+        together = np.add.reduceat(met, pair)
+        share = together / documents[np.searchsorted(word, near[pair])]
+        told = (together >= SEEN) & (share >= GENERALISE)
+        columns = [pa.array(near[pair][told].view(np.int64)), pa.array(share[told])]
         yield pa.RecordBatch.from_arrays(columns, ["word", "share"])
 
     sent = dealt(source.mapInArrow(emit, packed_schema(*kinds)), n_tasks)

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -270,6 +271,20 @@ def test_personal_data(spark, odd, empty):
     assert pii.find(odd).count() == len(ROWS) and pii.find(empty).count() == 0
 
 
+def test_personal_data_in_unchanging_surroundings(spark):
+    line = "a b c d e f g h zork mail bob@x.org or call q r s t u v w x"  # the same eight words on each side
+    rows = [(i, f"{w} letter {line} {w}") for i, w in enumerate(WORDS)]
+    copies = [(100 + i, "once yurt at eve@x.org") for i in range(20)] + [(200, "twice yurt at eve@x.org"), (201, "yurt alone")]
+    docs = spark.createDataFrame([*rows, *copies, (300, "zork alone"), (301, "a b c d e f g h"), (302, "a b c d e f g h again")], "doc_id int, text string")
+    words = {r.word: r.share for r in pii.disclosing(docs).collect()}
+    (zork, yurt), n = pii.Words(pa.array(["zork yurt"])).hashes.view(np.int64).tolist(), len(WORDS)
+    assert words[zork] == n / (n + 1) and yurt not in words  # copies of one text count once: two documents
+    more = docs.union(spark.createDataFrame([(202, "thrice yurt at eve@x.org")], docs.schema))
+    assert {r.word: r.share for r in pii.disclosing(more).collect()}[yurt] == 3 / 4
+    got = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "zork" not in got[0] and got[300] == " alone" and "yurt" in got[100]
+
+
 @data
 def test_quality_on_held_out_rows(spark):
     labels = {r.doc_id: r.quality for r in q.read(spark, "/root/testdata/sf0.01", "labels").collect()}
