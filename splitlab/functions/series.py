@@ -31,10 +31,10 @@ def centred(x: Column) -> Column:
     return F.zip_with(x, F.array_repeat(total(x) / n, n), lambda v, mean: v - mean)
 
 
-def testable(x: Column) -> Column:
+def testable(x: Column, points: int = MIN_POINTS) -> Column:
     """Enough points, all of them defined and finite."""
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    return (F.size(x) >= MIN_POINTS) & ~bad
+    return (F.size(x) >= points) & ~bad
 
 
 def legacy_lags(n: Column) -> Column:
@@ -48,7 +48,7 @@ def short_lags(n: Column) -> Column:
 def with_kpss(df: DataFrame, series: str, out: str = "kpss", lags=legacy_lags) -> DataFrame:
     """Add the KPSS level statistic of ``series``; NULL where it is undefined."""
     e, n = F.col("__e"), F.size("__e")
-    prepared = df.withColumn("__e", centred(F.when(testable(F.col(series)), F.col(series))))
+    prepared = df.withColumn("__e", centred(F.when(testable(F.col(series), 2), F.col(series))))
     prepared = prepared.withColumn("__l", lags(n))
     walk = F.aggregate(
         e, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("q")),
@@ -75,7 +75,8 @@ def kpss_pvalue(stat: Column) -> Column:
 
 def with_dickey_fuller(df: DataFrame, series: str, out: str = "df_stat") -> DataFrame:
     """Add the Dickey-Fuller t statistic without lagged differences (constant, no trend)."""
-    x = F.when(testable(F.col(series)), F.col(series))
+    # Two parameters are fitted to the changes.
+    x = F.when(testable(F.col(series), 4), F.col(series))
     level = F.slice(x, F.lit(1), F.size(x) - 1)
     change = F.zip_with(F.slice(x, F.lit(2), F.size(x) - 1), level, lambda b, a: b - a)
     prepared = df.withColumns({"__x": centred(level), "__d": centred(change)})

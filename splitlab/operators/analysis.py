@@ -163,7 +163,8 @@ def counterfactual_effect(series: DataFrame, season_days: int | None = None) ->
     """Effect per day after the start: test minus what control predicts for it.
 
     Test is regressed on control over the pre days and predicted for the post days.
-    ``season_days`` (7 for weeks) takes out the pre-period mean of each day of the cycle first.
+    ``season_days`` (7 for weeks) takes out the pre-period mean of each day of the cycle first,
+    or the mean of the whole pre period where that day of the cycle has none.
     Window bounds come from the dates of groups named pre and post.
     """
     pairs = pair_days(series).withColumn("comparison", _comparison())
@@ -175,7 +176,11 @@ def counterfactual_effect(series: DataFrame, season_days: int | None = None) ->
     keys = ["comparison", "season"]
     pre = daily.where(F.col("period") == "pre")
     means = pre.groupBy(*keys).agg(F.avg("x_value").alias("base_x"), F.avg("y_value").alias("base_y"))
-    level = daily.join(means, keys).withColumns(
+    overall = pre.groupBy("comparison").agg(F.avg("x_value").alias("mean_x"), F.avg("y_value").alias("mean_y"))
+    based = daily.join(means, keys, "left").join(overall, "comparison").withColumns(
+        {"base_x": F.coalesce("base_x", "mean_x"), "base_y": F.coalesce("base_y", "mean_y")}
+    )
+    level = based.withColumns(
         {"dx": F.col("x_value") - F.col("base_x"), "dy": F.col("y_value") - F.col("base_y")}
     )
     slope = safe_ratio(F.sum(F.col("dx") * F.col("dy")), F.sum(F.col("dx") * F.col("dx")))

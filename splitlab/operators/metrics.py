@@ -60,18 +60,19 @@ def unit_series(
     unit_days: DataFrame, metrics: Sequence[str], start: date | str, period: int,
     unit: str = "unit_id", day: str = "day",
 ) -> UnitSeries:
-    """Gather the ``period`` days from ``start`` on per unit; expects one row per unit and day.
+    """Gather the ``period`` days from ``start`` on per unit; several rows of a unit and day are added up.
 
     Units are hashed and regrouped under every salt, so their days travel with them as one row.
     A unit holds at most ``period`` entries, whatever its share of the raw data.
     """
     start = as_date(start)
     inside = unit_days.where(in_days(F.col(day), start, start + timedelta(days=period - 1)))
-    entry = F.struct(
-        F.datediff(F.col(day), F.lit(start)).alias("offset"),
-        *[F.col(m).cast("double").alias(f"v{j}") for j, m in enumerate(metrics)],
+    # Plain columns stay plain, so days already grouped by unit and day are not exchanged for this again.
+    once = inside.groupBy(F.col(unit).cast("bigint").alias("unit_id"), F.col(day).cast("date").alias("day")).agg(
+        *[F.sum(F.col(m).cast("double")).alias(f"v{j}") for j, m in enumerate(metrics)]
     )
-    gathered = inside.groupBy(F.col(unit).cast("bigint").alias("unit_id")).agg(F.collect_list(entry).alias("days"))
+    entry = F.struct(F.datediff("day", F.lit(start)).alias("offset"), *[f"v{j}" for j in range(len(metrics))])
+    gathered = once.groupBy("unit_id").agg(F.collect_list(entry).alias("days"))
     return UnitSeries(gathered, tuple(metrics), start, period)
 
 

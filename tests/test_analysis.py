@@ -122,6 +122,15 @@ def test_counterfactual_finds_the_effect(spark, frame, season):
         assert got[0].predicted == pytest.approx(beta[0] + beta[1] * wide.control.iloc[20])
 
 
+def test_counterfactual_keeps_weekdays_without_pre_days(spark, frame):
+    short = frame[frame.date >= START + dt.timedelta(days=17)]  # 3 pre and 20 post days
+    got = analysis.counterfactual_effect(series(spark, short), 7).where("comparison = 'control-1 X test-1'").orderBy("date").collect()
+    assert len(got) == 20 and all(r.effect is not None for r in got)
+    y = short[(short.logic == "test1")].value.to_numpy()
+    assert got[0].date.weekday() not in [(START + dt.timedelta(days=d)).weekday() for d in (17, 18, 19)]
+    assert got[0].predicted == pytest.approx(y[:3].mean())  # one day per weekday leaves no slope
+
+
 def test_descriptives_and_pre_period(spark, frame):
     x, y = (frame[frame.logic == k].value.to_numpy() for k in ("control1", "test1"))
     ratio = {r.comparison: r.rel_diff for r in analysis.reldiff_descriptives(series(spark, frame)).collect()}

@@ -85,3 +85,11 @@ def test_work_grid_balances_copies_and_partial_results():
     blocks, _ = work_grid(10_000, 20, 91, 4000, n_units=10**6)
     assert blocks * groups.SUMS_PER_TASK >= 10_000 * 20 * 91
     assert work_grid(1, 1, 31, 16)[0] == 1
+
+
+def test_repeated_unit_days_add_up(spark):
+    rows = [(1, "2024-01-01", 5.0), (1, "2024-01-01", 7.0), (1, "2024-01-02", 1.0), (1, "2024-01-02", None)]
+    df = spark.createDataFrame(rows, "unit_id long, day string, m1 double").withColumn("day", F.to_date("day"))
+    days = group_days(unit_series(df, ["m1"], "2024-01-01", 3), generate_salts(spark, "B", "2024-01-10", 2), [0])
+    got = {(r.salt_id, str(r.day)): (r.m1, r.n_units) for r in group_rows(days, [0], ["m1"]).collect()}
+    assert len(got) == 4 and all(v == ((12.0, 1) if d == "2024-01-01" else (1.0, 1)) for (_, d), v in got.items())

@@ -148,3 +148,18 @@ def test_fewer_salts_than_a_batch(walked):
     walk = walked([3], batch_size=1000)
     assert select.smart_salt(walk).first()["index"] == 3
     assert [r["index"] for r in select.smart_salt_table(walk).collect()] == [3]
+
+
+def test_statistics_of_short_series(spark):
+    rows = [(n, [float(v) for v in walks(n, 1, n, False)[0]]) for n in range(8)]
+    df = spark.createDataFrame(rows, "n int, series array<double>")
+    got = {r.n: r for r in stationarity.dickey_fuller_stats(stationarity.kpss_stats(df)).collect()}
+    for n, row in rows:
+        assert (got[n].kpss is None) == (n < 2) and (got[n].df_stat is None) == (n < 4)
+        x = np.array(row)
+        if n >= 4:
+            assert got[n].df_stat == pytest.approx(twins.regress(np.diff(x), [np.ones(n - 1), x[:-1]])[1][1], rel=1e-8)
+        if n >= 2:
+            e, lags = x - x.mean(), int(np.ceil(12 * (n / 100) ** 0.25))
+            variance = (e @ e + 2 * sum((1 - k / (lags + 1)) * (e[k:] @ e[:-k]) for k in range(1, min(lags, n - 1) + 1))) / n
+            assert got[n].kpss == pytest.approx((e.cumsum() ** 2).sum() / n**2 / variance)
