@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splitlab.llm import bpe, decontaminate, html, jaccard, pii, quality, secrets, suffix, vptree, windows
+from splitlab.llm import bpe, decontaminate, html, jaccard, merkle, mix, negatives, pii, quality, secrets, suffix, vptree, windows
+from splitlab.llm import oracles
 
 VOCABULARY = "byte_bpe_50k.json"
 #: A document is predicted good from this score on.
@@ -84,8 +85,23 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=NEIGHBOURS, factor=PRUNING)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return merkle.manifest(read(spark, sf_dir, "documents").select(*merkle.FIELDS), tampered)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mixed(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_substring_dedup, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op7_suffix_array, op8_pii, op9_bpe, op10_nearest)
+    for f in (op1_decontamination, op2_substring_dedup, op3_html_extraction, op4_quality, op5_secrets, op6_ngram_jaccard, op7_suffix_array, op8_pii, op9_bpe, op10_nearest,
+              op11_merkle, op12_hard_negatives, op13_mixing)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_merkle": oracles.merkle(), "op12_hard_negatives": oracles.HARD_NEGATIVES, "op13_mixing": oracles.MIXING}
