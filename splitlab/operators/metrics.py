@@ -11,7 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.functions.dates import as_date, in_days
-from splitlab.plans.session import materialize
+from splitlab.plans.session import materialize_counted
+
+
+def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def outer_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -23,7 +27,7 @@ def outer_merge(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     sided = [f.withColumn("__side", F.when(null_key, F.lit(i))) for i, f in enumerate(frames)]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sided)
+    stacked = _stacked(sided)
     values = [c for c in stacked.columns if c not in (*keys, "__side")]
     return stacked.groupBy(*keys, "__side").agg(*[F.sum(v).alias(v) for v in values]).drop("__side")
 
@@ -33,10 +37,12 @@ def unit_day_metrics(
 ) -> DataFrame:
     """(unit, day, metrics): missing metrics are 0, rows with no nonzero metric are dropped.
 
-    Rows without a unit id are dropped too, since they cannot be hashed into a group.
+    Rows without a unit id or without a day are dropped too, since they belong to no group or no
+    period. What is left has whole keys, so the union needs no column for its side and is dealt
+    by unit and day alone; a later grouping by both, as in ``unit_series``, exchanges nothing.
     """
-    known = [f.where(F.col(unit).isNotNull()) for f in frames]
-    merged = outer_merge(known, [unit, day]).select(unit, day, *metrics)
+    known = [f.where(F.col(unit).isNotNull() & F.col(day).isNotNull()) for f in frames]
+    merged = _stacked(known).groupBy(unit, day).agg(*[F.sum(m).alias(m) for m in metrics])
     nonzero = reduce(lambda a, b: a | b, [F.col(m) != 0 for m in metrics])
     return merged.na.fill(0, subset=list(metrics)).where(nonzero)
 
@@ -76,7 +82,35 @@ def unit_series(
     return UnitSeries(gathered, tuple(metrics), start, period)
 
 
+def unit_series_of_frames(
+    frames: Sequence[DataFrame], metrics: Sequence[str], start: date | str, period: int,
+    unit: str = "unit_id", day: str = "day",
+) -> UnitSeries:
+    """``unit_series`` of ``unit_day_metrics`` of raw frames, in one shuffle.
+
+    One grouped sum per unit, metric and day of the period, so (unit, day) is never dealt by
+    itself and a unit is combined before it travels, whatever its share of the rows. A day on
+    which no metric is nonzero is left out, and so is a unit without any day.
+    """
+    start = as_date(start)
+    known = [f.where(F.col(unit).isNotNull() & in_days(F.col(day), start, start + timedelta(days=period - 1))) for f in frames]
+    names = [f"v{j}" for j in range(len(metrics))]
+    offset = F.datediff(day, F.lit(start))
+    rows = _stacked(known).select(
+        F.col(unit).cast("bigint").alias("unit_id"), offset.alias("offset"), *[F.col(m).cast("double").alias(v) for m, v in zip(metrics, names)]
+    )
+    sums = rows.groupBy("unit_id").agg(
+        *[F.sum(F.when(F.col("offset") == d, F.col(v))).alias(f"{v}_{d}") for d in range(period) for v in names]
+    )
+    entries = F.array(*[
+        F.struct(F.lit(d).alias("offset"), *[F.coalesce(f"{v}_{d}", F.lit(0.0)).alias(v) for v in names]) for d in range(period)
+    ])
+    seen = F.filter(entries, lambda e: reduce(lambda a, b: a | b, [e[v] != 0 for v in names]))
+    days = sums.select("unit_id", seen.alias("days")).where(F.size("days") > 0)
+    return UnitSeries(days, tuple(metrics), start, period)
+
+
 def prepared(series: UnitSeries) -> UnitSeries:
     """The same series, materialised and counted: read by many jobs, spread by its size."""
-    df = materialize(series.df)
-    return replace(series, df=df, n_units=df.count())
+    df, n_units = materialize_counted(series.df)
+    return replace(series, df=df, n_units=n_units)

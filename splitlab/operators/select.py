@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.operators.loss import salt_days, salt_loss
 from splitlab.operators.metrics import UnitSeries
+from splitlab.operators.ranking import with_rank
 from splitlab.operators.stationarity import stationarity
 from splitlab.plans.config import SplitConfig
 from splitlab.plans.session import materialize
@@ -19,10 +21,12 @@ MIN_SALTS = 100
 
 
 class SaltWalk:
-    """Salts in order of loss, tested for stationarity batch by batch until enough have passed.
+    """Salts in order of loss, tested for stationarity in batches of that order.
 
-    The regrouping of all units runs once; its result (daily sums of the compared groups under
-    every salt) and the ranked losses are materialised, and each batch only tests its own salts.
+    The regrouping of all units runs once; its result, daily sums of the compared groups under
+    every salt, is materialised and read by the losses and by the tests. One job tests the salts
+    of all batches; which batch counts is an aggregate over the salts that pass, so the number of
+    jobs does not depend on the number of batches.
     """
 
     def __init__(
@@ -32,19 +36,17 @@ class SaltWalk:
         self.config, self.metrics, self.batch_size = config, series.metrics, batch_size
         self.days = materialize(salt_days(series, salts, config))
         losses = salt_loss(self.days, salts, config, series.metrics, version)
-        # One rank over the salts (at most 100,000 short rows), not over data.
-        index = F.row_number().over(Window.orderBy(*loss_order())).cast("bigint") - 1
-        self.ranked = materialize(losses.withColumn("index", index))
+        self.ranked = with_rank(losses, loss_order(), "index")
         # Every salt is tested; ``test_remainder=False`` leaves what is over from whole batches untested.
         self.n_batches = -(-salts.n // batch_size) if test_remainder else salts.n // batch_size
 
-    def batch(self, i: int) -> DataFrame:
-        """The salts of batch ``i`` that pass: (salt_id, salt, pae, index, stat_result)."""
-        low = i * self.batch_size
-        batch = self.ranked.where((F.col("index") >= low) & (F.col("index") < low + self.batch_size))
-        days = self.days.join(F.broadcast(batch.select("salt_id")), "salt_id", "left_semi")
-        tested = stationarity(days, self.config, self.metrics).where("stat_result")
-        return batch.join(F.broadcast(tested.select("salt_id", "stat_result")), "salt_id")
+    @cached_property
+    def passed(self) -> DataFrame:
+        """The tested salts that pass: (salt_id, salt, pae, index, stat_result, batch)."""
+        in_reach = self.ranked.where(F.col("index") < self.n_batches * self.batch_size)
+        tested = stationarity(self.days, self.config, self.metrics).where("stat_result")
+        batch = F.floor(F.col("index") / self.batch_size).cast("bigint").alias("batch")
+        return materialize(in_reach.join(tested.select("salt_id", "stat_result"), "salt_id").select(*self.ranked.columns, "stat_result", batch))
 
     def best(self) -> DataFrame:
         return self.ranked.orderBy("index").limit(1).withColumn("stat_result", F.lit(False))
@@ -56,11 +58,9 @@ def smart_salt(walk: SaltWalk) -> DataFrame:
     When no tested batch has one, the salt of lowest loss,
     with ``stat_result`` false.
     """
-    for i in range(walk.n_batches):
-        passed = materialize(walk.batch(i))
-        if passed.take(1):
-            return passed.orderBy("index").limit(1)
-    return walk.best()
+    # The first salt that passes is in the first batch that has one.
+    either = walk.passed.drop("batch").unionByName(walk.best())
+    return either.orderBy(F.desc("stat_result"), "index").limit(1)
 
 
 def smart_salt_table(walk: SaltWalk, min_salts: int = MIN_SALTS, cumulative: bool = False) -> DataFrame:
@@ -69,16 +69,16 @@ def smart_salt_table(walk: SaltWalk, min_salts: int = MIN_SALTS, cumulative: boo
     If none has, those of all batches. With ``cumulative`` the batches walked so far
     count together and are returned together.
     """
-    kept, total = None, 0
-    for i in range(walk.n_batches):
-        passed = materialize(walk.batch(i))
-        count = passed.count()
-        kept, total = passed if kept is None else kept.unionByName(passed), total + count
-        if not cumulative and count >= min_salts:
-            return passed
-        if cumulative and total >= min_salts:
-            break
-    return walk.best().limit(0) if kept is None else kept
+    passed = walk.passed
+    if cumulative:  # up to the batch of the salt that makes the number full
+        first = passed.orderBy("index").limit(min_salts)
+        chosen = first.agg(F.when(F.count("*") >= min_salts, F.max("batch")).alias("batch")).scalar()
+        kept = F.col("batch") <= chosen
+    else:
+        enough = passed.groupBy("batch").count().where(F.col("count") >= min_salts)
+        chosen = enough.agg(F.min("batch").alias("batch")).scalar()
+        kept = F.col("batch") == chosen
+    return passed.where(chosen.isNull() | kept).drop("batch")
 
 
 def loss_report(series: UnitSeries, salts: SaltSet, config: SplitConfig, metrics: Sequence[str], version: int = 1) -> DataFrame:
