@@ -38,13 +38,13 @@ def session() -> SparkSession:
 
 
 def salt_loss(n: int):
-    return lambda spark: q.losses(q.unit_days(spark, SF_DIR), q.config(n))
+    return lambda spark: q.losses(q.events(spark, SF_DIR), q.config(n))
 
 
 def bootstrap_rdiff(n: int):
     def run(spark: SparkSession) -> DataFrame:
         cfg = q.config(n)
-        return bootstrap.bootstrap_rdiff(q.series_of(q.unit_days(spark, SF_DIR), cfg), q.salts(spark, cfg), cfg.period)
+        return bootstrap.bootstrap_rdiff(q.series_of(q.events(spark, SF_DIR), cfg), q.salts(spark, cfg), cfg.period)
 
     return run
 

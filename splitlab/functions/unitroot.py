@@ -1,19 +1,18 @@
-"""Augmented Dickey-Fuller tests on batches of short series.
+"""Augmented Dickey-Fuller tests of short series, as built-in expressions.
 
-The lag search is a least-squares problem per series, which SQL cannot express; it runs on
-Arrow batches, for all series of a batch that have the same length at once.
+A series is one array per row. Its regressions of growing order are one successive
+orthogonalisation: the columns of the longest regression are listed, each is taken in turn, and
+the rest of the list, the explained changes last, is made orthogonal to it by a fold. What is left
+of the changes after each step is the residual sum of one more order.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RESULT = "stat double, pvalue double, lags int"
+from splitlab.functions.probability import bound, normal_cdf
+from splitlab.functions.series import testable
 
 # Fixed values. p-value polynomials for a constant and no trend (MacKinnon 1994).
 PVALUE_MAX, PVALUE_MIN, PVALUE_SWITCH = 2.74, -18.83, -1.61
@@ -33,101 +32,133 @@ TREND_CRITICAL = {
     0.975: (-0.50, -0.58, -0.62, -0.64, -0.65, -0.66),
     0.99: (-0.15, -0.24, -0.28, -0.31, -0.32, -0.33),
 }
+# Share of the largest level below which the level counts as explained by the other columns.
+FLAT = 1e-10
 
 
-def _design(x: np.ndarray, lags: int, trend: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(changes, deterministic and lagged-change columns, levels) for rows of equal-length series."""
-    diff = np.diff(x, axis=1)
-    n = diff.shape[1] - lags
-    lagged = [diff[:, lags - k : lags - k + n] for k in range(1, lags + 1)]
-    fixed = [np.ones((x.shape[0], n))]
-    if trend:
-        fixed.append(np.broadcast_to(np.arange(1.0, n + 1), (x.shape[0], n)))
-    return diff[:, lags:], np.stack(fixed + lagged, axis=2), x[:, lags:-1]
-
-
-def _level_t(x: np.ndarray, lags: int, trend: bool) -> np.ndarray:
-    """t statistic of the lagged level: it is the last column of a QR factorisation."""
-    change, other, level = _design(x, lags, trend)
-    columns = np.concatenate([other, level[:, :, None]], axis=2)
-    n, k = columns.shape[1:]
-    q, r = np.linalg.qr(columns)
-    along = np.einsum("snk,sn->sk", q, change)
-    left = np.maximum((change**2).sum(1) - (along**2).sum(1), 0.0)
-    last = r[:, -1, -1]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = along[:, -1] * np.sign(last) / np.sqrt(left / (n - k))
-    flat = np.abs(last) <= 1e-10 * np.maximum(np.abs(level).max(1), 1e-300)
-    return np.where(flat | ~np.isfinite(t), np.nan, t)
-
-
-def _aic_lags(x: np.ndarray, most: int) -> np.ndarray:
-    """Number of lagged changes with the lowest AIC, all candidates on the same sample.
-
-    Candidates are nested, so one factorisation gives the residual sum of every one of them.
-    """
-    change, other, level = _design(x, most, trend=False)
-    columns = np.concatenate([other[:, :, :1], level[:, :, None], other[:, :, 1:]], axis=2)
-    n = columns.shape[1]
-    q, _ = np.linalg.qr(columns)
-    explained = np.cumsum(np.einsum("snk,sn->sk", q, change) ** 2, axis=1)[:, 1:]
-    left = np.maximum((change**2).sum(1)[:, None] - explained, 1e-300)
-    aic = n * np.log(left / n) + 2 * np.arange(2, 2 + explained.shape[1])
-    return aic.argmin(axis=1)
+def _dot(a: str, b: str) -> str:
+    return f"aggregate(zip_with({a}, {b}, (p, q) -> p * q), 0D, (s, e) -> s + e)"
+
+
+def _centred(v: str) -> str:
+    mean = f"aggregate({v}, 0D, (s, e) -> s + e) / size({v})"
+    return bound(f"named_struct('v', {v}, 'm', {mean})", lambda c: f"transform({c}.v, e -> e - {c}.m)")
+
+
+def _orthogonal(columns: str) -> str:
+    """The columns after the first one, each less its part along the first."""
+    def less(q: str) -> str:
+        def one(c: str) -> str:
+            return f"zip_with(u, {q}.v, (a, b) -> a - {c} * b)"
+
+        share = bound(f"coalesce(try_divide({_dot('u', f'{q}.v')}, {q}.s), 0D)", one)
+        return f"transform(slice({columns}, 2, size({columns}) - 1), u -> {share})"
 
+    first = bound(f"{columns}[0]", lambda v: f"named_struct('v', {v}, 's', {_dot(v, v)})")
+    return bound(first, less)
 
-def _normal_cdf(z: np.ndarray) -> np.ndarray:
-    return np.array([0.5 * math.erfc(-v / math.sqrt(2)) for v in z])
 
+def _last(columns: str) -> str:
+    return f"element_at({columns}, -1)"
 
-def _constant_pvalue(t: np.ndarray) -> np.ndarray:
-    z = np.where(t <= PVALUE_SWITCH, np.polyval(PVALUE_LEFT[::-1], t), np.polyval(PVALUE_RIGHT[::-1], t))
-    p = np.where(t > PVALUE_MAX, 1.0, np.where(t < PVALUE_MIN, 0.0, _normal_cdf(z)))
-    return np.where(np.isnan(t), np.nan, p)
 
+def _steps(columns: str, n: str) -> str:
+    """Columns after ``n`` orthogonalisations, and the squared length of the last column after each."""
+    def grown(w: str) -> str:
+        return f"named_struct('v', {w}, 'left', concat(t.left, array({bound(_last(w), lambda y: _dot(y, y))})))"
 
-def _trend_pvalue(t: np.ndarray, n: int) -> np.ndarray:
-    critical = [np.interp(n, TREND_SIZES, row) for row in TREND_CRITICAL.values()]
-    return np.where(np.isnan(t), np.nan, np.interp(t, critical, list(TREND_CRITICAL)))
+    start = f"named_struct('v', {columns}, 'left', cast(array() as array<double>))"
+    some = f"if({n} > 0, sequence(1, greatest({n}, 1)), cast(array() as array<int>))"
+    return f"aggregate({some}, {start}, (t, i) -> {bound(_orthogonal('t.v'), grown)})"
 
 
-def adf_aic(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(stat, p, lags): constant, number of lags chosen by AIC, then refitted on its own sample."""
-    n = x.shape[1]
-    most = max(0, min(math.ceil(12 * (n / 100) ** 0.25), n // 2 - 2))
-    lags = _aic_lags(x, most)
-    stat = np.full(len(x), np.nan)
-    for k in np.unique(lags):
-        stat[lags == k] = _level_t(x[lags == k], int(k), trend=False)
-    return stat, _constant_pvalue(stat), lags
+def _lagged(lags: str, m: str) -> str:
+    """The changes 1, 2, ... ``lags`` days before the last ``m`` changes."""
+    some = f"if({lags} > 0, sequence(1, greatest({lags}, 1)), cast(array() as array<int>))"
+    return f"transform({some}, k -> {_centred(f'slice(__d, {lags} - k + 1, {m})')})"
 
 
-def adf_trend(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(stat, p, lags): constant and trend, fixed number of lags, tabulated p-value."""
-    n = x.shape[1]
-    lags = int((n - 1) ** (1 / 3) + 1e-9)
-    stat = _level_t(x, lags, trend=True)
-    return stat, _trend_pvalue(stat, n - 1), np.full(len(x), lags)
+def _regressed(df: DataFrame, lags: str, trend: bool) -> DataFrame:
+    """Adds __t, the t statistic of the lagged level with ``lags`` lagged changes; NULL where it is undefined."""
+    level, change = f"slice(__x, {lags} + 1, __m)", f"slice(__d, {lags} + 1, __m)"
+    time = f"array({_centred('transform(sequence(1, __m), i -> cast(i as double))')}), " if trend else ""
+    steps = f"{lags} + 1" if trend else lags
+    design = f"concat({time}{_lagged(lags, '__m')}, array({_centred(level)}, {_centred(change)}))"
+    left = df.withColumn("__m", F.expr(f"size(__d) - {lags}")).withColumn("__c", F.expr(design))
+    left = left.withColumn("__c", F.expr(f"{_steps('__c', steps)}.v"))
+    left = left.withColumns({
+        "__xx": F.expr(_dot("__c[0]", "__c[0]")), "__xy": F.expr(_dot("__c[0]", "__c[1]")),
+        "__largest": F.expr(f"array_max(transform({level}, e -> abs(e)))"),
+    }).withColumn("__c", F.expr(_orthogonal("__c")))
+    left = left.withColumn("__ss", F.expr(_dot("__c[0]", "__c[0]")))
+    freedom = f"(__m - {lags} - {3 if trend else 2})"
+    flat = f"sqrt(__xx) <= {FLAT}D * greatest(__largest, 1e-300D)"
+    stat = f"CASE WHEN NOT ({flat}) AND __ss > 0 AND {freedom} > 0 THEN __xy / sqrt(__ss / {freedom} * __xx) END"
+    return left.withColumn("__t", F.expr(stat)).drop("__m", "__c", "__xx", "__xy", "__largest", "__ss")
 
 
-def _by_length(series: pd.Series, test) -> pd.DataFrame:
-    out = pd.DataFrame({"stat": np.nan, "pvalue": np.nan, "lags": np.nan}, index=series.index)
-    lengths = series.map(lambda v: -1 if v is None else len(v))
-    for n in lengths.unique():
-        if n < 0:
-            continue
-        rows = lengths.index[lengths == n]
-        stat, p, lags = test(np.stack(series[rows].to_list()).astype(float))
-        out.loc[rows, "stat"], out.loc[rows, "pvalue"], out.loc[rows, "lags"] = stat, p, lags
-    return out.astype({"lags": "Int64"}).replace({np.nan: None})
+def _constant_pvalue(df: DataFrame) -> DataFrame:
+    """Adds __p to __t by the polynomials for a constant."""
+    def value(parts: tuple[float, ...]) -> Column:
+        total = F.lit(parts[-1])
+        for c in reversed(parts[:-1]):
+            total = total * F.col("__t") + c
+        return total
 
+    z = F.when(F.col("__t") <= PVALUE_SWITCH, value(PVALUE_LEFT)).otherwise(value(PVALUE_RIGHT))
+    p = F.when(F.col("__t") > PVALUE_MAX, 1.0).when(F.col("__t") < PVALUE_MIN, 0.0).otherwise(normal_cdf("__z"))
+    return df.withColumn("__z", z).withColumn("__p", p).drop("__z")
 
-def adf_column(series: Column, trend: bool = False) -> Column:
-    """Struct (stat, pvalue, lags) of an array column; NULL arrays give NULL fields."""
-    test = adf_trend if trend else adf_aic
 
-    def run(values: pd.Series) -> pd.DataFrame:
-        return _by_length(values, test)
+def _between(x: Column, points: list[tuple[Column | float, Column | float]]) -> Column:
+    """Piecewise linear through ``points``, constant beyond them."""
+    value = F.when(x <= points[0][0], points[0][1])
+    for (x0, y0), (x1, y1) in zip(points, points[1:]):
+        value = value.when(x <= x1, y0 + (x - x0) * ((y1 - y0) / (x1 - x0)))
+    return value.when(x > points[-1][0], points[-1][1])
 
-    run.__annotations__ = {"values": pd.Series, "return": pd.DataFrame}
-    return F.pandas_udf(run, RESULT)(series)
+
+def _trend_pvalue(df: DataFrame) -> DataFrame:
+    """Adds __p to __t by the tabulated critical values, between sizes and probabilities."""
+    n = F.size("__d").cast("double")
+    names = {p: f"__c{i}" for i, p in enumerate(TREND_CRITICAL)}
+    rows = df.withColumns({
+        name: _between(n, [(float(s), F.lit(c)) for s, c in zip(TREND_SIZES, TREND_CRITICAL[p])]) for p, name in names.items()
+    })
+    points = [(F.col(name), F.lit(p)) for p, name in names.items()]
+    return rows.withColumn("__p", _between(F.col("__t"), points)).drop(*names.values())
+
+
+def _prepared(df: DataFrame, series: str) -> DataFrame:
+    x = F.when(testable(F.col(series)), F.col(series))
+    changes = "zip_with(slice(__x, 2, size(__x) - 1), slice(__x, 1, size(__x) - 1), (b, a) -> b - a)"
+    return df.withColumn("__x", x).withColumn("__d", F.expr(changes))
+
+
+def with_adf(df: DataFrame, series: str, stat: str = "adf", pvalue: str = "adf_pvalue", lags: str = "adf_lags") -> DataFrame:
+    """Adds statistic, p-value and number of lags of the test with a constant; NULL for series under eight points or with undefined ones.
+
+    The number of lagged changes is the one of lowest AIC, the smaller one of equals, all
+    candidates on the sample of the longest; the statistic is then fitted on its own sample.
+    """
+    rows = _prepared(df, series)
+    n = "size(__x)"
+    most = f"CASE WHEN __x IS NOT NULL THEN greatest(0, least(cast(ceil(12 * power({n} / 100D, 0.25D)) as int), {n} div 2 - 2)) END"
+    rows = rows.withColumn("__most", F.expr(most).cast("int")).withColumn("__m", F.expr("size(__d) - __most"))
+    level, change = "slice(__x, __most + 1, __m)", "slice(__d, __most + 1, __m)"
+    design = f"concat(array({_centred(level)}), {_lagged('__most', '__m')}, array({_centred(change)}))"
+    rows = rows.withColumn("__c", F.expr(f"CASE WHEN __x IS NOT NULL THEN {design} END"))
+    rows = rows.withColumn("__left", F.expr(f"CASE WHEN __x IS NOT NULL THEN {_steps('__c', '__most + 1')}.left END"))
+    aic = "transform(__left, (e, k) -> named_struct('aic', __m * ln(greatest(e, 1e-300D) / __m) + 2D * (k + 2), 'k', k))"
+    rows = rows.withColumn("__lags", F.expr(f"array_min({aic}).k")).drop("__c", "__left", "__m", "__most")
+    rows = _constant_pvalue(_regressed(rows.withColumn("__x", F.expr("CASE WHEN __lags IS NOT NULL THEN __x END")), "__lags", trend=False))
+    return rows.select(*df.columns, F.col("__t").alias(stat), F.col("__p").alias(pvalue), F.col("__lags").alias(lags))
+
+
+def with_adf_trend(df: DataFrame, series: str, stat: str = "adf", pvalue: str = "adf_pvalue") -> DataFrame:
+    """Adds statistic and tabulated p-value of the test with constant and trend; the lags are the whole cube root of the changes."""
+    rows = _prepared(df, series)
+    # A cube root of a cube may end just below it.
+    rows = rows.withColumn("__lags", F.expr("cast(floor(power(size(__d), 1 / 3D) + 1e-9D) as int)"))
+    rows = _trend_pvalue(_regressed(rows, "__lags", trend=True))
+    return rows.select(*df.columns, F.col("__t").alias(stat), F.col("__p").alias(pvalue))

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from splitlab.functions.arith import mean_if_all_defined, safe_ratio
-from splitlab.functions.series import kpss_pvalue, short_lags, testable, with_kpss
-from splitlab.functions.student import t_critical, t_pvalue
-from splitlab.functions.unitroot import adf_column
+from splitlab.functions.probability import t_critical, t_pvalue
+from splitlab.functions.series import kpss_pvalue, short_lags, with_kpss
+from splitlab.functions.unitroot import with_adf_trend
 
 SINGLE_DAY = -99.0
 FIELDS = ["group", "logic", "value"]
@@ -71,11 +71,9 @@ def pre_stationarity(series: DataFrame) -> DataFrame:
         F.sqrt(F.avg(F.pow(F.col("y_value") - F.col("x_value"), 2))).alias("rmse"),
         points.getField("ratio").alias("series"),
     )
-    tested = with_kpss(grouped, "series", lags=short_lags).withColumn(
-        "__adf", adf_column(F.when(testable(F.col("series")), F.col("series")), trend=True)
-    )
+    tested = with_adf_trend(with_kpss(grouped, "series", lags=short_lags), "series")
     return tested.select(
-        "comparison", "rmse", kpss_pvalue(F.col("kpss")).alias("kpss_pvalue"), F.col("__adf.pvalue").alias("adf_pvalue")
+        "comparison", "rmse", kpss_pvalue(F.col("kpss")).alias("kpss_pvalue"), "adf_pvalue"
     ).orderBy(F.asc_nulls_last("adf_pvalue"), F.desc_nulls_last("kpss_pvalue"), "rmse")
 
 
@@ -109,11 +107,11 @@ def welch_ttest(series: DataFrame, dimension: Sequence[str] = (), pvalues: bool
         ((F.col("ratio") - 1) * 100).alias("relative_diff"), "mean_abs_diff",
     ]
     if pvalues:
-        half = t_critical(F.col("df")) * F.col("se")
+        half = t_critical("df") * F.col("se")
         columns += [
             unless_single(F.col("my") - F.col("mx") - half).alias("ci_from"),
             unless_single(F.col("my") - F.col("mx") + half).alias("ci_to"),
-            unless_single(t_pvalue(F.col("t"), F.col("df"))).alias("p_value"),
+            unless_single(t_pvalue("t", "df")).alias("p_value"),
         ]
     result = stats.select(*columns)
     if pvalues:
@@ -154,18 +152,25 @@ def did(series: DataFrame, pvalues: bool = True) -> DataFrame:
     ).withColumn("t_value", safe_ratio(F.col("estimate"), F.col("std_error")))
     if not pvalues:
         return fitted
-    return fitted.withColumn("p_value", t_pvalue(F.col("t_value"), F.col("df").cast("double"))).withColumn(
+    return fitted.withColumn("p_value", t_pvalue("t_value", "df")).withColumn(
         "significant", F.col("p_value") < 0.05
     )
 
 
-def counterfactual_effect(series: DataFrame, season_days: int | None = None) -> DataFrame:
-    """Effect per day after the start: test minus what control predicts for it.
+def counterfactual_effect(series: DataFrame, season_days: int | None = None, level: float = 0.95) -> DataFrame:
+    """Effect per day after the start: test minus what control predicts for it, with its bounds.
 
     Test is regressed on control over the pre days and predicted for the post days.
     ``season_days`` (7 for weeks) takes out the pre-period mean of each day of the cycle first,
     or the mean of the whole pre period where that day of the cycle has none.
     Window bounds come from the dates of groups named pre and post.
+
+    Bounds hold with probability ``level`` if days vary around the regression independently and
+    alike. A predicted day varies by the day itself, by the estimated mean of its day of the cycle
+    and by the estimated slope; a sum of days by all of these, where errors of means and slope are
+    shared between days. ``p_value`` is two-sided, for no effect over the days up to this one.
+    Days without a value on either side are not used; a post day without one has no effect and
+    leaves the sums as they were; ``days`` counts those with one. With too few pre days for a residual, bounds and p are NULL.
     """
     pairs = pair_days(series).withColumn("comparison", _comparison())
     period = F.when(F.col("y_group").contains("pre"), "pre").when(F.col("y_group").contains("post"), "post")
@@ -174,24 +179,76 @@ def counterfactual_effect(series: DataFrame, season_days: int | None = None) ->
     daily = daily.withColumn("season", season)
 
     keys = ["comparison", "season"]
-    pre = daily.where(F.col("period") == "pre")
-    means = pre.groupBy(*keys).agg(F.avg("x_value").alias("base_x"), F.avg("y_value").alias("base_y"))
-    overall = pre.groupBy("comparison").agg(F.avg("x_value").alias("mean_x"), F.avg("y_value").alias("mean_y"))
-    based = daily.join(means, keys, "left").join(overall, "comparison").withColumns(
-        {"base_x": F.coalesce("base_x", "mean_x"), "base_y": F.coalesce("base_y", "mean_y")}
-    )
-    level = based.withColumns(
-        {"dx": F.col("x_value") - F.col("base_x"), "dy": F.col("y_value") - F.col("base_y")}
+    pre = daily.where((F.col("period") == "pre") & F.col("x_value").isNotNull() & F.col("y_value").isNotNull())
+    means = pre.groupBy(*keys).agg(F.avg("x_value").alias("base_x"), F.avg("y_value").alias("base_y"), F.count("*").alias("base_n"))
+    overall = pre.groupBy("comparison").agg(
+        F.avg("x_value").alias("mean_x"), F.avg("y_value").alias("mean_y"), F.count("*").alias("n"), F.count_distinct("season").alias("seasons")
     )
-    slope = safe_ratio(F.sum(F.col("dx") * F.col("dy")), F.sum(F.col("dx") * F.col("dx")))
-    fit = level.where(F.col("period") == "pre").groupBy("comparison").agg(F.coalesce(slope, F.lit(0.0)).alias("slope"))
-    post = level.where(F.col("period") == "post").join(fit, "comparison")
+
+    def level_of(rows: DataFrame) -> DataFrame:
+        based = rows.join(means, keys, "left").join(overall, "comparison").withColumns({
+            "base_x": F.coalesce("base_x", "mean_x"), "base_y": F.coalesce("base_y", "mean_y"), "base_n": F.coalesce("base_n", "n"),
+        })
+        return based.withColumns({"dx": F.col("x_value") - F.col("base_x"), "dy": F.col("y_value") - F.col("base_y")})
+
+    sums = level_of(pre).groupBy("comparison").agg(
+        F.sum(F.col("dx") * F.col("dx")).alias("xx"), F.sum(F.col("dx") * F.col("dy")).alias("xy"), F.sum(F.col("dy") * F.col("dy")).alias("yy"),
+        F.first("n").alias("n"), F.first("seasons").alias("seasons"),
+    )
+    slope = F.coalesce(safe_ratio(F.col("xy"), F.col("xx")), F.lit(0.0))
+    df = F.col("n") - F.col("seasons") - F.when(F.col("xx") > 0, 1).otherwise(0)
+    fit = sums.withColumns({"slope": slope, "df": F.when(df > 0, df)})
+    fit = fit.withColumn("error", F.sqrt(F.greatest(F.col("yy") - F.col("slope") * F.col("xy"), F.lit(0.0)) / F.col("df")))
+    fit = fit.select("comparison", "slope", "xx", "df", "error", t_critical("df", level).alias("reach"))
+    post = level_of(daily.where(F.col("period") == "post")).join(fit, "comparison")
     predicted = F.col("base_y") + F.col("slope") * F.col("dx")
-    # A comparison has one row per day and pair of groups: a bounded window.
+    # A comparison has one row per day and pair of groups: bounded windows.
     order = Window.partitionBy("comparison").orderBy("date", "x_group", "y_group")
-    return post.withColumn("predicted", predicted).withColumn("effect", F.col("y_value") - F.col("predicted")).select(
-        "comparison", "date", F.col("y_value").alias("actual"), "predicted", "effect",
-        F.sum("effect").over(order).alias("cumulative_effect"),
+    in_season = Window.partitionBy("comparison", "season").orderBy("date", "x_group", "y_group")
+    rows = post.withColumn("predicted", predicted).withColumn("effect", F.col("y_value") - F.col("predicted"))
+    known = F.col("effect").isNotNull()
+    # T days of a cycle day with n pre days add T^2 / n to the variance of a sum, the T-th of them (2 T - 1) / n.
+    rows = rows.withColumn("shared", F.when(known, (2 * F.sum(known.cast("int")).over(in_season) - 1) / F.col("base_n")))
+    lean = F.coalesce(safe_ratio(F.pow("dx", F.lit(2)), F.col("xx")), F.lit(0.0))
+    rows = rows.withColumns({
+        "cumulative_effect": F.sum("effect").over(order), "days": F.sum(known.cast("int")).over(order),
+        "cumulative_shared": F.sum("shared").over(order), "cumulative_dx": F.sum(F.when(known, F.col("dx"))).over(order),
+    })
+    cumulative_lean = F.coalesce(safe_ratio(F.pow("cumulative_dx", F.lit(2)), F.col("xx")), F.lit(0.0))
+    rows = rows.withColumns({
+        "half": F.col("reach") * F.col("error") * F.sqrt(1 + 1 / F.col("base_n") + lean),
+        "cumulative_error": F.col("error") * F.sqrt(F.col("days") + F.col("cumulative_shared") + cumulative_lean),
+    })
+    rows = rows.withColumns({
+        "cumulative_half": F.col("reach") * F.col("cumulative_error"), "t": safe_ratio(F.col("cumulative_effect"), F.col("cumulative_error")),
+    })
+    bounds = [(F.col(c) + sign * F.col(h)).alias(f"{c}_{end}") for c, h in
+              (("predicted", "half"), ("effect", "half"), ("cumulative_effect", "cumulative_half")) for end, sign in (("low", -1), ("high", 1))]
+    return rows.select(
+        "comparison", "date", "days", F.col("y_value").alias("actual"), "predicted", "effect", "cumulative_effect", *bounds,
+        t_pvalue("t", "df").alias("p_value"),
+    )
+
+
+def counterfactual_summary(effects: DataFrame, level: float = 0.95) -> DataFrame:
+    """One row per comparison of ``counterfactual_effect`` (of the same ``level``): the whole time after the start.
+
+    Means per day of actual and predicted values, the effect as their difference, in total and in
+    percent of the prediction, each with bounds, and the p-value of no effect.
+    """
+    names = ["cumulative_effect", "cumulative_effect_low", "cumulative_effect_high"]
+    known = effects.where(F.col("effect").isNotNull())
+    total = known.groupBy("comparison").agg(
+        F.count("*").alias("days"), F.avg("actual").alias("actual"), F.avg("predicted").alias("predicted"),
+        F.max_by(F.struct(*names, "p_value"), "days").alias("last"),
+    )
+    parts = {"effect": names[0], "effect_low": names[1], "effect_high": names[2]}
+    return total.select(
+        "comparison", "days", "actual", "predicted",
+        *[(F.col("last")[c] / F.col("days")).alias(f"average_{n}") for n, c in parts.items()],
+        *[F.col("last")[c].alias(c) for c in names],
+        *[(100 * safe_ratio(F.col("last")[c] / F.col("days"), F.col("predicted"))).alias(f"relative_{n}") for n, c in parts.items()],
+        F.col("last.p_value").alias("p_value"), (F.col("last.p_value") < 1 - level).alias("significant"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.functions.series import kpss_pvalue, testable, with_dickey_fuller, with_kpss
-from splitlab.functions.unitroot import adf_column
+from splitlab.functions.unitroot import with_adf
 from splitlab.operators.loss import compare
 from splitlab.plans.config import SplitConfig
 
@@ -41,12 +41,7 @@ def dickey_fuller_stats(series: DataFrame) -> DataFrame:
 
 def adf_stats(series: DataFrame) -> DataFrame:
     """Add ``adf``, ``adf_pvalue`` and ``adf_lags``: constant, lags by AIC."""
-    usable = F.when(testable(F.col("series")), F.col("series"))
-    tested = series.withColumn("__adf", adf_column(usable))
-    return tested.select(
-        *series.columns, F.col("__adf.stat").alias("adf"), F.col("__adf.pvalue").alias("adf_pvalue"),
-        F.col("__adf.lags").alias("adf_lags"),
-    )
+    return with_adf(series, "series")
 
 
 def stationarity(days: DataFrame, config: SplitConfig, metrics: Sequence[str]) -> DataFrame:

@@ -6,8 +6,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import plain_statistics as student
 import twins
-from splitlab.functions import student
+from splitlab.functions import probability
 from splitlab.operators import analysis
 from splitlab.operators.cuped import cuped_adjust, cuped_metrics
 
@@ -43,6 +44,20 @@ def test_student_t_against_tables():
     assert student.t_quantile(0.05, 10) == pytest.approx(2.228139, abs=1e-6)
 
 
+def test_probability_expressions(spark):
+    rows = [(t, df) for t in (0.0, 0.3, 1.0, 1.96, 2.5, 7.0, -3.1, 40.0) for df in (0.7, 1.0, 2.5, 10.0, 55.4, 300.0)]
+    odd = [(float("inf"), 3.0), (float("nan"), 3.0), (None, 3.0), (1.0, None), (1.0, 0.0), (1.96, 1e9), (1.0, 1e7)]
+    frame = spark.createDataFrame(rows + odd, "t double, df double")
+    got = frame.select("t", "df", probability.t_pvalue("t", "df").alias("p"), probability.t_critical("df").alias("q"), probability.normal_cdf("t").alias("z")).collect()
+    for r in got[: len(rows)]:
+        assert r.p == pytest.approx(student.two_sided_p(r.t, r.df), rel=1e-9, abs=1e-13)
+        assert r.q == pytest.approx(student.t_quantile(0.05, r.df), rel=1e-9)
+        assert r.z == pytest.approx(0.5 * math.erfc(-r.t / math.sqrt(2)), abs=1e-14)
+    assert [r.p for r in got[len(rows) : len(rows) + 5]] == [0.0, None, None, None, None]
+    assert got[-2].p == pytest.approx(0.0499957903, abs=1e-10)
+    assert got[-1].p == pytest.approx(0.3173105320599, abs=1e-12), "the series in 1/df, where gamma functions would cancel"
+
+
 @pytest.mark.parametrize("t,df", [(0.3, 2.5), (2.0, 4.7), (7.0, 2.5), (3.1, 55.4), (9.0, 30.0)])
 def test_student_t_against_the_integral_of_its_density(t, df):
     at = np.linspace(0, t, 200_001)

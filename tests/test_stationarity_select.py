@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import plain_statistics
 import twins
 from splitlab.functions import unitroot
 from splitlab.functions.series import kpss_pvalue, short_lags
@@ -17,19 +18,30 @@ def walks(n, count, seed, unit_root):
     return noise.cumsum(axis=1) if unit_root else 5 + noise
 
 
-def test_adf_equals_one_regression_per_lag():
+def adf_of(spark, x, test=unitroot.with_adf):
+    """Statistics, p-values (NaN where undefined) and lags of the rows of ``x`` by expressions."""
+    df = spark.createDataFrame([(i, list(map(float, row))) for i, row in enumerate(x)], "i int, s array<double>").repartition(8)
+    rows = sorted(test(df, "s").collect(), key=lambda r: r.i)
+    number = lambda v: np.nan if v is None else v
+    return np.array([number(r.adf) for r in rows]), np.array([number(r.adf_pvalue) for r in rows]), [getattr(r, "adf_lags", None) for r in rows]
+
+
+def test_adf_equals_one_regression_per_lag(spark):
     for n in (8, 12, 28, 42, 90):
         x = np.concatenate([walks(n, 12, n, True), walks(n, 12, n, False)])
-        stat, _, lags = unitroot.adf_aic(x)
+        stat, p, lags = adf_of(spark, x)
+        plain = plain_statistics.adf_aic(x)
+        assert p == pytest.approx(plain[1], rel=1e-7, abs=1e-12)
         for i, row in enumerate(x):
             want, lag = twins.adf(row)
-            assert lags[i] == lag and stat[i] == pytest.approx(want, rel=1e-7)
+            assert lags[i] == plain[2][i] == lag and stat[i] == pytest.approx(want, rel=1e-7) and plain[0][i] == pytest.approx(want, rel=1e-7)
 
 
-def test_adf_trend_equals_least_squares():
+def test_adf_trend_equals_least_squares(spark):
     x = walks(30, 5, 3, True)
-    stat, _, lags = unitroot.adf_trend(x)
-    assert set(lags) == {3}
+    stat, p, _ = adf_of(spark, x, unitroot.with_adf_trend)
+    plain = plain_statistics.adf_trend(x)
+    assert set(plain[2]) == {3} and p == pytest.approx(plain[1], rel=1e-9)
     for i, row in enumerate(x):
         dx = np.diff(row)
         y = dx[3:]
@@ -37,22 +49,25 @@ def test_adf_trend_equals_least_squares():
         assert stat[i] == pytest.approx(twins.regress(y, cols)[1][2], rel=1e-8)
 
 
-def test_adf_size_and_power():
-    p_root = unitroot.adf_aic(walks(250, 1500, 7, True))[1]
-    p_noise = unitroot.adf_aic(walks(42, 800, 8, False))[1]
+def test_adf_size_and_power(spark):
+    p_root = plain_statistics.adf_aic(walks(250, 1500, 7, True))[1]
     assert abs((p_root < 0.05).mean() - 0.058) < 0.02
+    p_noise = adf_of(spark, walks(42, 800, 8, False))[1]
     assert (p_noise < 0.05).mean() > 0.85
+    assert adf_of(spark, walks(250, 1500, 7, True)[:60])[1] == pytest.approx(p_root[:60], rel=1e-7, abs=1e-12)
 
 
-def test_pvalues_at_published_critical_values():
-    p = unitroot._constant_pvalue(np.array([-3.43, -2.86, -2.57, 3.0, -19.0, np.nan]))
+def test_pvalues_at_published_critical_values(spark):
+    t = spark.createDataFrame([(i, v) for i, v in enumerate([-3.43, -2.86, -2.57, 3.0, -19.0, None])], "i int, __t double")
+    p = [r["__p"] for r in unitroot._constant_pvalue(t).orderBy("i").collect()]
     assert p[:3] == pytest.approx([0.01, 0.05, 0.10], abs=1e-3)
-    assert p[3] == 1 and p[4] == 0 and np.isnan(p[5])
-    assert unitroot._trend_pvalue(np.array([-3.60, -9.0, 9.0]), 25) == pytest.approx([0.05, 0.01, 0.99])
+    assert p[3] == 1 and p[4] == 0 and p[5] is None
+    t = spark.createDataFrame([(i, v, [0.0] * 25) for i, v in enumerate([-3.60, -9.0, 9.0])], "i int, __t double, __d array<double>")
+    assert [r["__p"] for r in unitroot._trend_pvalue(t).orderBy("i").collect()] == pytest.approx([0.05, 0.01, 0.99])
 
 
-def test_constant_series_has_no_statistic():
-    stat, p, _ = unitroot.adf_aic(np.ones((2, 30)))
+def test_constant_series_has_no_statistic(spark):
+    stat, p, _ = adf_of(spark, np.ones((2, 30)))
     assert np.isnan(stat).all() and np.isnan(p).all()
 
 
@@ -81,7 +96,7 @@ def expected_stationarity(frame, salt, cfg):
             n_control = sum(len(g) for _, g in merged.drop_duplicates(["day", "grp_c"]).groupby("day"))
             if len(x) != n_control or len(x) < 8 or not np.isfinite(x).all():
                 return False
-            p = unitroot._constant_pvalue(np.array([twins.adf(x)[0]]))[0]
+            p = plain_statistics._constant_pvalue(np.array([twins.adf(x)[0]]))[0]
             if not (p < 0.05 and twins.kpss(x) < 0.463):
                 return False
     return True

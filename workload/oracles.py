@@ -6,7 +6,7 @@ where the library pivots, and salts meet units in a plain product.
 
 from __future__ import annotations
 
-from workload.queries import DASHBOARD_SALT, TOP, TRIALS
+from workload.queries import DASHBOARD_SALT, PAIR_TRIALS, TOP, TRIALS, WALK_TRIALS
 from workload.views import CAP, END, EXPERIMENT_START, PARTNERS, PERIOD, RUN_DATE, START, ctes
 
 BAD = "('fraudulent', 'test', 'unknown')"
@@ -158,21 +158,25 @@ DENSITY = [
 
 # Stationarity of sums, groups 0 and 1 against group 2.
 
-SERIES = [
-    UNIT_DAY, salts_cte(), *group_days("gd", "salts", 10, THREE_GROUPS),
+LONG = [
+    *group_days("gd", "salts", 10, THREE_GROUPS),
     f"""ratios AS (SELECT c.salt, g.test, c.day, {ratio('t.m1', 'c.m1')} AS m1, {ratio('t.m2', 'c.m2')} AS m2
         FROM gd c CROSS JOIN (VALUES (0), (1)) g(test)
         LEFT JOIN gd t ON t.salt = c.salt AND t.day = c.day AND t.grp = g.test WHERE c.grp = 2)""",
     """long AS (SELECT salt, test, day, 'm1' AS metric, m1 AS x FROM ratios
         UNION ALL SELECT salt, test, day, 'm2', m2 FROM ratios)""",
+]
+SERIES = [
+    UNIT_DAY, salts_cte(), *LONG,
     """defined AS (SELECT salt, test, metric, COUNT(*) >= 8 AND COUNT(*) = COUNT(x) AND NOT BOOL_OR(isinf(x)) AS ok
         FROM long GROUP BY ALL)""",
     """centred AS (SELECT salt, test, metric, day, x, x - AVG(x) OVER w AS e, COUNT(*) OVER w AS n,
         ROW_NUMBER() OVER (PARTITION BY salt, test, metric ORDER BY day) AS i
         FROM long WINDOW w AS (PARTITION BY salt, test, metric))""",
 ]
+LEGACY_LAGS, SHORT_LAGS = "CEIL(12 * POW(n / 100, 0.25))", "FLOOR(4 * POW(n / 100, 0.25))"
 KPSS = [
-    "lagged AS (SELECT *, CAST(CEIL(12 * POW(n / 100, 0.25)) AS INT) AS l FROM centred)",
+    f"lagged AS (SELECT *, CAST({LEGACY_LAGS} AS INT) AS l FROM centred)",
     """walked AS (SELECT salt, test, metric, n, l, e,
         SUM(e) OVER (PARTITION BY salt, test, metric ORDER BY i) AS s FROM lagged)""",
     "base AS (SELECT salt, test, metric, n, l, SUM(s * s) AS ss, SUM(e * e) AS g0 FROM walked GROUP BY ALL)",
@@ -193,6 +197,129 @@ DICKEY_FULLER = [
         AS df_stat FROM steps GROUP BY ALL)""",
 ]
 
+# Unit-root tests: columns of a regression as lists, made orthogonal one after the other.
+
+NORMAL_CDF = """CASE WHEN z < -8 THEN 0 WHEN z > 8 THEN 1 WHEN z = 0 THEN 0.5 ELSE 0.5 + sign(z) * exp(-z * z / 2) / sqrt(2 * pi()) *
+    list_sum(list_transform(range(0, 200), lambda i: exp((2 * i + 1) * ln(abs(z)) - lgamma(2 * i + 2) + i * ln(2) + lgamma(i + 1)))) END"""
+
+
+def centred_list(v: str, name: str) -> str:
+    return f"list_transform({v}, lambda {name}: {name} - list_avg({v}))"
+
+
+def lagged_changes(lags: str, m: str) -> str:
+    return f"list_transform(range(1, {lags} + 1), lambda k: d[({lags} - k + 1)::BIGINT:({lags} - k + {m})::BIGINT])"
+
+
+def orthogonalised(name: str, source: str, steps: str) -> list[str]:
+    """Recursion that takes ``steps`` first columns of v out of the others; ``rest`` keeps the last one's squared length."""
+    along = "list_dot_product(u, v[1]) / nullif(list_dot_product(v[1], v[1]), 0)"
+    less = f"list_transform(v[2:], lambda u: list_transform(list_zip(u, v[1]), lambda p: p[1] - coalesce({along}, 0) * p[2]))"
+    return [
+        f"""{name}_fold AS (SELECT salt, test, metric, {steps} AS todo, v, []::DOUBLE[] AS rest FROM {source}
+            UNION ALL SELECT salt, test, metric, todo - 1, w, list_append(rest, list_dot_product(w[-1], w[-1]))
+            FROM (SELECT *, {less} AS w FROM {name}_fold WHERE todo > 0))""",
+        f"{name} AS (SELECT * FROM {name}_fold WHERE todo = 0)",
+    ]
+
+
+def level_t(name: str, source: str, trend: bool) -> list[str]:
+    """t statistic of the level in ``source`` (x, d, n, lags)."""
+    columns = "[x[(lags + 1)::BIGINT:(n - 1)::BIGINT], d[(lags + 1)::BIGINT:(n - 1)::BIGINT]]"
+    time = "[list_transform(range(1, n - lags), lambda i: i::DOUBLE)]" if trend else "[]::DOUBLE[][]"
+    return [
+        f"""{name}_design AS (SELECT *, list_transform(list_concat({time}, {lagged_changes('lags', '(n - 1 - lags)')}, {columns}),
+            lambda c: {centred_list('c', 'e')}) AS v FROM {source})""",
+        *orthogonalised(f"{name}_left", f"{name}_design", "lags + 1" if trend else "lags"),
+        f"""{name} AS (SELECT s.salt, s.test, s.metric, s.lags, s.n,
+            CASE WHEN xx > 1e-20 * pow(greatest(list_max(list_transform(x, lambda e: abs(e))), 1e-300), 2) AND yy - xy * xy / xx > 0
+                THEN xy / sqrt((yy - xy * xy / xx) / (n - 1 - 2 * lags - {3 if trend else 2}) * xx) END AS t
+            FROM {source} s JOIN (SELECT *, list_dot_product(v[1], v[1]) AS xx, list_dot_product(v[1], v[2]) AS xy,
+                list_dot_product(v[2], v[2]) AS yy FROM {name}_left) USING (salt, test, metric))""",
+    ]
+
+
+XS = """xs AS (SELECT salt, test, metric, list(x ORDER BY day) AS x, COUNT(*)::INT AS n FROM centred JOIN defined USING (salt, test, metric)
+        WHERE ok GROUP BY ALL)"""
+CHANGES = "list_transform(range(1, n), lambda k: x[k + 1] - x[k]) AS d"
+ADF = [
+    XS,
+    f"""shaped AS (SELECT *, {CHANGES}, greatest(0, least(CAST(CEIL(12 * POW(n / 100, 0.25)) AS INT), n // 2 - 2)) AS most FROM xs)""",
+    f"""searched AS (SELECT *, n - 1 - most AS m, list_transform(list_concat([x[(most + 1)::BIGINT:(n - 1)::BIGINT]],
+            {lagged_changes('most', '(n - 1 - most)')}, [d[(most + 1)::BIGINT:(n - 1)::BIGINT]]), lambda c: {centred_list('c', 'e')}) AS v FROM shaped)""",
+    *orthogonalised("search", "searched", "most + 1"),
+    """scored AS (SELECT s.salt, s.test, s.metric, x, d, n,
+            list_transform(range(0, most + 1), lambda k: m * ln(greatest(rest[k + 1], 1e-300) / m) + 2 * (k + 2)) AS aic
+        FROM searched s JOIN search USING (salt, test, metric))""",
+    "fitted AS (SELECT *, (list_position(aic, list_min(aic)) - 1)::INT AS lags FROM scored)",
+    *level_t("adf_t", "fitted", False),
+    """adf_z AS (SELECT *, CASE WHEN t <= -1.61 THEN 2.1659 + 1.4412 * t + 0.038269 * t * t
+            ELSE 1.7339 + 0.93202 * t - 0.12745 * t * t - 0.010368 * t * t * t END AS z FROM adf_t)""",
+    f"""adf AS (SELECT salt, test, metric, t AS adf, lags AS adf_lags,
+            CASE WHEN t > 2.74 THEN 1 WHEN t < -18.83 THEN 0 ELSE {NORMAL_CDF} END AS adf_pvalue FROM adf_z)""",
+]
+TESTED = [
+    f"kpss_p AS (SELECT k.*, {KPSS_P} AS p FROM kpss k JOIN defined USING (salt, test, metric) WHERE ok)",
+    """judged AS (SELECT salt, test, metric, ok AND adf_pvalue IS NOT NULL AND kpss IS NOT NULL AS known, adf_pvalue AS a, p AS k
+        FROM defined LEFT JOIN adf USING (salt, test, metric) LEFT JOIN kpss_p USING (salt, test, metric))""",
+    """stationary AS (SELECT salt, bool_and(coalesce(known AND a < 0.05 AND k > 0.05, false)) AS stat_result,
+            CASE WHEN bool_or(NOT coalesce(known, false)) THEN 'undefined ratio' WHEN bool_or(a >= 0.05) THEN 'unit root'
+                WHEN bool_or(k <= 0.05) THEN 'level shift' END AS reason FROM judged GROUP BY salt)""",
+]
+
+
+def walk(version: int, choice: list[str], select: str) -> str:
+    """Salts ranked by loss, batches of 500, and the stationary ones of a batch."""
+    return recursive([
+        UNIT_DAY, salts_cte(n=WALK_TRIALS), *losses("loss", "salts", version), *LONG, *SERIES[len(LONG) + 2:], *KPSS, *ADF, *TESTED,
+        """ranked AS (SELECT salt, coalesce(pae, 0) AS pae, ROW_NUMBER() OVER (ORDER BY pae NULLS LAST, salt) - 1 AS index
+            FROM salts LEFT JOIN loss USING (salt))""",
+        "passed AS (SELECT *, index // 500 AS batch FROM ranked JOIN stationary USING (salt) WHERE stat_result)",
+        *choice,
+    ], select)
+
+
+def recursive(parts: list[str], select: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + select
+
+
+def smart_salt() -> str:
+    return walk(1, [
+        """chosen AS (SELECT salt, pae, index, stat_result FROM passed
+            UNION ALL SELECT salt, pae, index, false FROM ranked WHERE index = 0)""",
+    ], f"SELECT salt, {rounded('pae')}, index, stat_result FROM chosen ORDER BY stat_result DESC, index LIMIT 1")
+
+
+def smart_salt_table(version: int) -> str:
+    return walk(version, ["enough AS (SELECT MIN(batch) AS batch FROM (SELECT batch FROM passed GROUP BY batch HAVING COUNT(*) >= 100))"],
+                f"""SELECT salt, {rounded('pae')}, index, stat_result FROM passed, enough
+                    WHERE enough.batch IS NULL OR passed.batch = enough.batch""")
+
+
+# Student-t: shares of the integral of cos^(df - 1), by Simpson's rule.
+
+def _area(start: str, df: str) -> str:
+    at = f"greatest(cos({start} + i * (pi() / 2 - {start}) / 2000), 0)"
+    weight = "CASE WHEN i = 0 OR i = 2000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(list_sum(list_transform(range(0, 2001), lambda i: {weight} * pow({at}, {df} - 1))) * (pi() / 2 - {start}))"
+
+
+def t_tail(t: str, df: str) -> str:
+    """P(|T| > |t|) for df of 1 and more."""
+    return f"({_area(f'atan(abs({t}) / sqrt({df}))', df)} / {_area('0', df)})"
+
+
+def t_reach(name: str, source: str) -> list[str]:
+    """(df, reach) for every df in ``source``: the t with probability 0.05 beyond it, by halving t / (1 + t)."""
+    middle = "((low + high) / 2)"
+    return [
+        f"""{name}_halved AS (SELECT DISTINCT CAST(df AS DOUBLE) AS df, 0::DOUBLE AS low, 1::DOUBLE AS high, 0 AS k FROM {source} WHERE df > 0
+            UNION ALL SELECT df, CASE WHEN above THEN {middle} ELSE low END, CASE WHEN above THEN high ELSE {middle} END, k + 1
+            FROM (SELECT *, {t_tail(f'({middle} / (1 - {middle}))', 'df')} > 0.05 AS above FROM {name}_halved WHERE k < 52))""",
+        f"{name} AS (SELECT df, low / (1 - low) AS reach FROM {name}_halved WHERE k = 52)",
+    ]
+
+
 # Accounts.
 
 IN_WINDOW = f"BETWEEN '{START}' AND '{END}'"
@@ -375,17 +502,52 @@ DID = [
 ]
 
 
-def counterfactual(season: str) -> str:
-    return query([
+def effects(season: str) -> list[str]:
+    """Effects per day with their errors; sums over the days so far are joins of the days with the earlier ones."""
+    return [
         *dashboard(True),
         f"seasonal AS (SELECT *, {season} AS s FROM pairs)",
-        "base AS (SELECT comparison, s, AVG(x) AS bx, AVG(y) AS by_ FROM seasonal WHERE phase = 'pre' GROUP BY ALL)",
+        "base AS (SELECT comparison, s, AVG(x) AS bx, AVG(y) AS by_, COUNT(*) AS m FROM seasonal WHERE phase = 'pre' GROUP BY ALL)",
         "shifted AS (SELECT *, x - bx AS dx, y - by_ AS dy FROM seasonal JOIN base USING (comparison, s))",
-        "fit AS (SELECT comparison, SUM(dx * dy) / SUM(dx * dx) AS b FROM shifted WHERE phase = 'pre' GROUP BY ALL)",
-        """effects AS (SELECT comparison, date, y AS actual, by_ + b * dx AS predicted, y - by_ - b * dx AS effect
-            FROM shifted JOIN fit USING (comparison) WHERE phase = 'post')""",
-    ], f"""SELECT comparison, date, {rounded('actual predicted effect')},
-        {r('SUM(effect) OVER (PARTITION BY comparison ORDER BY date)')} AS cumulative_effect FROM effects""")
+        """fit AS (SELECT comparison, SUM(dx * dy) / SUM(dx * dx) AS b, SUM(dx * dx) AS xx,
+            CAST(COUNT(*) - COUNT(DISTINCT s) - 1 AS DOUBLE) AS df,
+            SQRT((SUM(dy * dy) - SUM(dx * dy) * SUM(dx * dy) / SUM(dx * dx)) / (COUNT(*) - COUNT(DISTINCT s) - 1)) AS sigma
+            FROM shifted WHERE phase = 'pre' GROUP BY comparison)""",
+        *t_reach("reaches", "fit"),
+        """daily AS (SELECT comparison, date, s, m, dx, y AS actual, by_ + b * dx AS predicted, y - by_ - b * dx AS effect, xx, df, sigma, reach
+            FROM shifted JOIN fit USING (comparison) JOIN reaches USING (df) WHERE phase = 'post')""",
+        """earlier AS (SELECT a.comparison, a.date, b.s, any_value(b.m) AS m, COUNT(*) AS t, SUM(b.dx) AS dx, SUM(b.effect) AS effect
+            FROM daily a JOIN daily b ON a.comparison = b.comparison AND b.date <= a.date GROUP BY ALL)""",
+        """sums AS (SELECT comparison, date, SUM(t) AS days, SUM(effect) AS cumulative_effect, SUM(t * t / m) AS shared, SUM(dx) AS dx_sum
+            FROM earlier GROUP BY ALL)""",
+        """bounded AS (SELECT *, reach * sigma * SQRT(1 + 1 / m + dx * dx / xx) AS half, sigma * SQRT(days + shared + dx_sum * dx_sum / xx) AS total
+            FROM daily JOIN sums USING (comparison, date))""",
+        f"""effects AS (SELECT *, predicted - half AS predicted_low, predicted + half AS predicted_high, effect - half AS effect_low,
+            effect + half AS effect_high, cumulative_effect - reach * total AS cumulative_effect_low,
+            cumulative_effect + reach * total AS cumulative_effect_high, {t_tail('(cumulative_effect / total)', 'df')} AS p_value FROM bounded)""",
+    ]
+
+
+EFFECT_COLUMNS = """actual predicted effect cumulative_effect predicted_low predicted_high effect_low effect_high cumulative_effect_low
+    cumulative_effect_high p_value"""
+
+
+def counterfactual(season: str) -> str:
+    return recursive(effects(season), f"SELECT comparison, date, CAST(days AS BIGINT) AS days, {rounded(EFFECT_COLUMNS)} FROM effects")
+
+
+def counterfactual_summary() -> str:
+    names = "effect", "effect_low", "effect_high"
+    columns = ["actual", "predicted", *[f"cumulative_{n}" for n in names], "p_value"]
+    columns += [f"cumulative_{n} / days AS average_{n}" for n in names]
+    columns += [f"100 * cumulative_{n} / days / predicted AS relative_{n}" for n in names]
+    parts = [c.split(" AS ") if " AS " in c else (c, c) for c in columns]
+    return recursive([
+        *effects("isodow(date)"),
+        f"""whole AS (SELECT comparison, MAX(days) AS days, AVG(actual) AS actual, AVG(predicted) AS predicted,
+            {', '.join(f'arg_max(cumulative_{n}, days) AS cumulative_{n}' for n in names)}, arg_max(p_value, days) AS p_value
+            FROM effects GROUP BY comparison)""",
+    ], f"SELECT comparison, CAST(days AS BIGINT) AS days, {', '.join(f'{r(e)} AS {n}' for e, n in parts)}, p_value < 0.05 AS significant FROM whole")
 
 
 def cuped() -> str:
@@ -404,6 +566,40 @@ def cuped() -> str:
         {adjusted('m1')} AS cuped_m1, {adjusted('m2')} AS cuped_m2 FROM merged""")
 
 
+def trend_pvalue() -> str:
+    """Between the critical values with trend for 25 observations and fewer; the dashboard has no longer pre period."""
+    points = [(-4.38, 0.01), (-3.95, 0.025), (-3.60, 0.05), (-3.24, 0.10), (-1.14, 0.90), (-0.80, 0.95), (-0.50, 0.975), (-0.15, 0.99)]
+    steps = " ".join(f"WHEN t <= {b} THEN {p} + (t - ({a})) * {(q - p) / (b - a)!r}" for (a, p), (b, q) in zip(points, points[1:]))
+    return f"CASE WHEN t <= {points[0][0]} THEN {points[0][1]} {steps} WHEN t > {points[-1][0]} THEN {points[-1][1]} END"
+
+
+def pre_stationarity() -> str:
+    return recursive([
+        *dashboard(False),
+        f"ratios AS (SELECT logic AS salt, 0 AS test, '' AS metric, date AS day, {ratio('y', 'x')} AS x FROM pairs WHERE phase = 'pre')",
+        "errors AS (SELECT logic AS salt, SQRT(AVG(POW(y - x, 2))) AS rmse FROM pairs WHERE phase = 'pre' GROUP BY logic)",
+        *[part.replace("FROM long", "FROM ratios") for part in SERIES if part.startswith(("defined", "centred"))],
+        *[part.replace(LEGACY_LAGS, SHORT_LAGS) for part in KPSS], XS,
+        f"shaped AS (SELECT *, {CHANGES}, CAST(FLOOR(POW(n - 1, 1 / 3) + 1e-9) AS INT) AS lags FROM xs)",
+        *level_t("trended", "shaped", True),
+    ], f"""SELECT salt AS comparison, {r('rmse')} AS rmse, {r(KPSS_P)} AS kpss_pvalue, {r(trend_pvalue())} AS adf_pvalue
+        FROM errors LEFT JOIN kpss USING (salt) LEFT JOIN trended USING (salt)""")
+
+
+def welch_pvalue() -> str:
+    se = "(VAR_SAMP(x) / COUNT(*) + VAR_SAMP(y) / COUNT(*))"
+    squares = "(POW(VAR_SAMP(x) / COUNT(*), 2) + POW(VAR_SAMP(y) / COUNT(*), 2))"
+    return recursive([
+        *dashboard(True),
+        f"""welch AS (SELECT comparison, logic, COUNT(*) AS n, AVG(y) - AVG(x) AS diff, SQRT({se}) AS se,
+            POW({se}, 2) / ({squares} / (COUNT(*) - 1)) AS df, (AVG(x / y) - 1) * 100 AS relative_diff, AVG(x - y) AS mean_abs_diff
+            FROM pairs GROUP BY comparison, logic)""",
+        *t_reach("reaches", "welch"),
+        f"tested AS (SELECT *, diff / se AS t_stat, {t_tail('(diff / se)', 'df')} AS p_value FROM welch JOIN reaches USING (df))",
+    ], f"""SELECT comparison, logic, n, {rounded('t_stat df relative_diff mean_abs_diff')}, {r('diff - reach * se')} AS ci_from,
+        {r('diff + reach * se')} AS ci_to, {r('p_value')} AS p_value, p_value < 0.05 AS significant FROM tested""")
+
+
 ORACLES: dict[str, str] = {
     "salt_table": """
         SELECT run_date, t.i AS trial,
@@ -429,7 +625,7 @@ ORACLES: dict[str, str] = {
     "stored_salts_top_n": query([UNIT_DAY, *STORED], f"""
         SELECT ROW_NUMBER() OVER (ORDER BY pae, salt) - 1 AS salt_id, salt, {rounded('pae', 9)} FROM stored"""),
     "smart_salt_perf": query([UNIT_DAY, *STORED, *losses("loss", "stored", 1)], f"SELECT salt, {rounded('pae', 9)} FROM loss"),
-    "bootstrap_pairs": query(BOOT, f"""
+    "bootstrap_pairs": query([part if not part.startswith("salts AS") else salts_cte(n=PAIR_TRIALS) for part in BOOT], f"""
         SELECT salt_id, num_groups, day, day_rank, i, j, {rounded('rdiff_m1 rdiff_m2', 9)} FROM boot_pairs JOIN salts USING (salt)"""),
     "bootstrap_rdiff": query(BOOT, f"SELECT salt, paired_groups, num_days, num_groups, {rounded('rdiff_m1 rdiff_m2', 9)} FROM boot"),
     "bootstrap_smart_salts": query([UNIT_DAY, *STORED, *SMART_BOOT], f"""
@@ -450,6 +646,14 @@ ORACLES: dict[str, str] = {
     "df_stat_lag0": query([*SERIES, *DICKEY_FULLER], f"""
         SELECT test, metric, salt, {r('CASE WHEN ok THEN df_stat END')} AS df_stat
         FROM defined LEFT JOIN df USING (salt, test, metric)"""),
+    "adf_aic": recursive([*SERIES, *ADF], f"""
+        SELECT test, metric, salt, {rounded('adf adf_pvalue')}, adf_lags FROM defined LEFT JOIN adf USING (salt, test, metric)"""),
+    "salt_stationarity": recursive([*SERIES, *KPSS, *ADF, *TESTED], """
+        SELECT salt, stat_result, reason FROM salts LEFT JOIN stationary USING (salt)"""),
+    "smart_salt": smart_salt(),
+    "smart_salt_table_v1": smart_salt_table(1),
+    "smart_salt_table_v2": smart_salt_table(2),
+    "smart_salt_table_v3": smart_salt_table(3),
     "reservations_clean": query(TWO_BOOKED, "SELECT * FROM booked"),
     "nits_adjusted_revenue": query(TWO_SIDED, f"""
         SELECT {TWO_KEYS}, {integers('gross_bookings roomnights')},
@@ -509,12 +713,18 @@ ORACLES: dict[str, str] = {
     "cuped_adjusted": cuped(),
     "pre_rmse": query(dashboard(True), f"""
         SELECT logic AS comparison, {r('SQRT(AVG(POW(y - x, 2)))')} AS rmse FROM pairs WHERE phase = 'pre' GROUP BY logic"""),
+    "pre_stationarity": pre_stationarity(),
+    "welch_pvalue": welch_pvalue(),
+    "did_pvalue": query([*dashboard(True), *DID, f"tested AS (SELECT *, {t_tail('(estimate / std_error)', 'df')} AS p_value FROM did)"], f"""
+        SELECT comparison, {rounded('estimate std_error')}, df, {r('estimate / std_error')} AS t_value, {rounded('p_value')},
+            p_value < 0.05 AS significant FROM tested"""),
     "welch_ttest": welch("comparison, logic", False),
     "welch_by_dimension": welch("part, comparison, logic", True),
     "did": query([*dashboard(False), *DID], f"""
         SELECT comparison, {rounded('estimate std_error')}, df, {r('estimate / std_error')} AS t_value FROM did"""),
     "counterfactual_effect": counterfactual("0"),
     "counterfactual_weekly": counterfactual("isodow(date)"),
+    "counterfactual_summary": counterfactual_summary(),
     "reldiff_descriptives": query(dashboard(False), f"""
         SELECT logic, comparison, {r('AVG(x / y) * 100')} AS rel_diff FROM pairs GROUP BY ALL"""),
     "abs_diff_descriptives": query(dashboard(False), f"""

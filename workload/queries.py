@@ -21,7 +21,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 M = ["m1", "m2"]
 GROUPS, CONTROL, TEST, WEIGHTS = [2, 3, 5], 2, [0, 1], [1] * 10
-TRIALS, WALK_TRIALS, TOP = 24, 1000, 10
+# Candidate salts: several blocks of them, and a walk whose last batch is not full. A salt has 7,260
+# rows of pairs a month, so that query has fewer salts.
+TRIALS, PAIR_TRIALS, WALK_TRIALS, TOP = 200, 24, 1200, 50
 DASHBOARD_SALT = "X0116"
 
 
@@ -29,16 +31,21 @@ def config(ntrials: int = TRIALS, run_date: str = RUN_DATE, period: int = PERIOD
     return SplitConfig(run_date, GROUPS, CONTROL, TEST, WEIGHTS, period, "B", ntrials)
 
 
-def unit_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """m1 = number of events, m2 = their value, per user and day."""
-    events = load(spark, sf_dir, "events").select(
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """m1 = number of events, m2 = their value, by user and day; a row per event."""
+    return load(spark, sf_dir, "events").select(
         F.col("user_id").alias("unit_id"), F.to_date("ts").alias("day"), F.lit(1).alias("m1"), F.col("value").alias("m2")
     )
-    return metrics.unit_day_metrics([events], M)
 
 
-def series_of(days: DataFrame, cfg: SplitConfig) -> metrics.UnitSeries:
-    return metrics.unit_series(days, M, cfg.start_date, cfg.period)
+def unit_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of ``events`` per user and day."""
+    return metrics.unit_day_metrics([events(spark, sf_dir)], M)
+
+
+def series_of(rows: DataFrame, cfg: SplitConfig) -> metrics.UnitSeries:
+    """One row per unit, from events or unit-days, counted so that tasks are sized by it."""
+    return metrics.prepared(metrics.unit_series_of_frames([rows], M, cfg.start_date, cfg.period))
 
 
 def salts(spark: SparkSession, cfg: SplitConfig) -> SaltSet:
@@ -113,18 +120,18 @@ def unit_day_metrics(spark, sf_dir):
 
 def salt_loss(version: int) -> Query:
     def run(spark, sf_dir):
-        return rounded(losses(unit_days(spark, sf_dir), config(), version).select("salt", "pae"), RATIO)
+        return rounded(losses(events(spark, sf_dir), config(), version).select("salt", "pae"), RATIO)
 
     return run
 
 
 def random_salt_perf(spark, sf_dir):
     cfg = config()
-    return rounded(select.loss_report(series_of(unit_days(spark, sf_dir), cfg), salts(spark, cfg), cfg, M), RATIO)
+    return rounded(select.loss_report(series_of(events(spark, sf_dir), cfg), salts(spark, cfg), cfg, M), RATIO)
 
 
 def stored_salts_top_n(spark, sf_dir):
-    return rounded(stored_salts(unit_days(spark, sf_dir)).df, RATIO)
+    return rounded(stored_salts(events(spark, sf_dir)).df, RATIO)
 
 
 def smart_salt_perf(spark, sf_dir):
@@ -141,13 +148,13 @@ def rdiffs(days: DataFrame, candidates: SaltSet | None = None, **options) -> Dat
 
 
 def bootstrap_pairs(spark, sf_dir):
-    cfg = config()
-    days = bootstrap.scheme_days(series_of(unit_days(spark, sf_dir), cfg), salts(spark, cfg))
+    cfg = config(PAIR_TRIALS)
+    days = bootstrap.scheme_days(series_of(events(spark, sf_dir), cfg), salts(spark, cfg))
     return rounded(bootstrap.paired_days(days, M).drop("scheme"), RATIO)
 
 
 def bootstrap_rdiff(spark, sf_dir):
-    return rounded(rdiffs(unit_days(spark, sf_dir)).drop("salt_id"), RATIO)
+    return rounded(rdiffs(events(spark, sf_dir)).drop("salt_id"), RATIO)
 
 
 def bootstrap_smart_salts(spark, sf_dir):
@@ -156,12 +163,13 @@ def bootstrap_smart_salts(spark, sf_dir):
 
 
 def bootstrap_ci(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_ci(materialize(rdiffs(unit_days(spark, sf_dir))), M, digits=None), RATIO)
+    table = materialize(rdiffs(events(spark, sf_dir), pair=(0, 1)))
+    return rounded(bootstrap.bootstrap_ci(table, M, digits=None), RATIO)
 
 
 def bootstrap_ci_trimmed(spark, sf_dir):
     """All pairs of groups, without relative differences of 5 and more."""
-    table = materialize(rdiffs(unit_days(spark, sf_dir)))
+    table = materialize(rdiffs(events(spark, sf_dir)))
     return rounded(bootstrap.bootstrap_ci(table, M, pair=None, cut_on="m2", cut=5.0, digits=None), RATIO)
 
 
@@ -170,14 +178,16 @@ def ci_comparison(spark, sf_dir):
     days = materialize(unit_days(spark, sf_dir))
     variants = {"random": salts(spark, config()), "smart": stored_salts(days)}
     tables = {
-        name: bootstrap.bootstrap_ci(materialize(rdiffs(days, candidates)), M, digits=None)
+        name: bootstrap.bootstrap_ci(materialize(rdiffs(days, candidates, pair=(0, 1))), M, digits=None)
         for name, candidates in variants.items()
     }
     return rounded(bootstrap.compare_ci(tables, M), RATIO)
 
 
 def bootstrap_density(spark, sf_dir):
-    return rounded(bootstrap.bootstrap_density(materialize(rdiffs(unit_days(spark, sf_dir))), "m2"), DENSITY)
+    halves = materialize(rdiffs(events(spark, sf_dir), schemes=[[10, 10]]))
+    # Bins fine enough for the digits kept.
+    return rounded(bootstrap.bootstrap_density(halves, "m2", bins_per_bandwidth=100_000), DENSITY)
 
 
 # Stationarity and selection.
@@ -186,7 +196,7 @@ def bootstrap_density(spark, sf_dir):
 def series(spark, sf_dir, cfg: SplitConfig | None = None) -> DataFrame:
     cfg = cfg or config()
     candidates = salts(spark, cfg)
-    named = stationarity.ratio_series(loss.salt_days(series_of(unit_days(spark, sf_dir), cfg), candidates, cfg), cfg, M)
+    named = stationarity.ratio_series(loss.salt_days(series_of(events(spark, sf_dir), cfg), candidates, cfg), cfg, M)
     return named.join(F.broadcast(candidates.df), "salt_id").drop("salt_id")
 
 
@@ -205,14 +215,14 @@ def adf_aic(spark, sf_dir):
 def salt_stationarity(spark, sf_dir):
     cfg = config()
     candidates = salts(spark, cfg)
-    days = loss.salt_days(series_of(unit_days(spark, sf_dir), cfg), candidates, cfg)
+    days = loss.salt_days(series_of(events(spark, sf_dir), cfg), candidates, cfg)
     tested = stationarity.stationarity(days, cfg, M)
     return candidates.df.join(F.broadcast(tested), "salt_id", "left").drop("salt_id")
 
 
 def walk(spark, sf_dir, version: int = 1) -> select.SaltWalk:
     cfg = config(WALK_TRIALS)
-    return select.SaltWalk(series_of(unit_days(spark, sf_dir), cfg), salts(spark, cfg), cfg, version)
+    return select.SaltWalk(series_of(events(spark, sf_dir), cfg), salts(spark, cfg), cfg, version)
 
 
 def smart_salt(spark, sf_dir):
@@ -315,7 +325,7 @@ def dashboard(spark, sf_dir, numbered: bool) -> DataFrame:
     """
     cfg = config()
     one_salt = SaltSet(spark.range(1).select(F.col("id").alias("salt_id"), F.lit(DASHBOARD_SALT).alias("salt")), 1)
-    days = group_rows(group_days(series_of(unit_days(spark, sf_dir), cfg), one_salt, [0, 1, 2, 3]), range(4), M)
+    days = group_rows(group_days(series_of(events(spark, sf_dir), cfg), one_salt, [0, 1, 2, 3]), range(4), M)
     role = F.when(F.col("grp") % 2 == 0, "control").otherwise("test")
     number = (F.floor(F.col("grp") / 2) + 1).cast("int")
     phase = F.when(F.col("day") < EXPERIMENT_START, "pre").otherwise("post")
@@ -370,6 +380,10 @@ def counterfactual_effect(season_days: int | None) -> Query:
     return run
 
 
+def counterfactual_summary(spark, sf_dir):
+    return rounded(analysis.counterfactual_summary(analysis.counterfactual_effect(dashboard(spark, sf_dir, True), 7)))
+
+
 def reldiff_descriptives(spark, sf_dir):
     return rounded(analysis.reldiff_descriptives(dashboard(spark, sf_dir, False)))
 
@@ -448,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "did_pvalue": did_pvalue,
     "counterfactual_effect": counterfactual_effect(None),
     "counterfactual_weekly": counterfactual_effect(7),
+    "counterfactual_summary": counterfactual_summary,
     "reldiff_descriptives": reldiff_descriptives,
     "abs_diff_descriptives": abs_diff_descriptives,
 }
