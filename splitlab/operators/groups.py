@@ -157,7 +157,9 @@ def group_days(series: UnitSeries, salts: SaltSet, slots: Sequence[int], keep: S
     )
     partial = layout.mapInArrow(_regroup(lookup, shape, ["salt_id", "offset", *values, *counts]), schema)
     day = F.date_add(F.lit(series.start), F.col("offset")).alias("day")
-    return partial.repartition("salt_id").groupBy("salt_id", day).agg(
+    # Few bytes, but what reads them computes on every series: by number, so that they are not coalesced by size.
+    spread = max(int(series.df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(parallelism(series.df.sparkSession), salts.n))
+    return partial.repartition(spread, "salt_id").groupBy("salt_id", day).agg(
         *[F.expr(f"sum({quoted(c)}) AS {quoted(c)}") for c in values + counts]
     )
 

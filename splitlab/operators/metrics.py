@@ -82,34 +82,6 @@ def unit_series(
     return UnitSeries(gathered, tuple(metrics), start, period)
 
 
-def unit_series_of_frames(
-    frames: Sequence[DataFrame], metrics: Sequence[str], start: date | str, period: int,
-    unit: str = "unit_id", day: str = "day",
-) -> UnitSeries:
-    """``unit_series`` of ``unit_day_metrics`` of raw frames, in one shuffle.
-
-    One grouped sum per unit, metric and day of the period, so (unit, day) is never dealt by
-    itself and a unit is combined before it travels, whatever its share of the rows. A day on
-    which no metric is nonzero is left out, and so is a unit without any day.
-    """
-    start = as_date(start)
-    known = [f.where(F.col(unit).isNotNull() & in_days(F.col(day), start, start + timedelta(days=period - 1))) for f in frames]
-    names = [f"v{j}" for j in range(len(metrics))]
-    offset = F.datediff(day, F.lit(start))
-    rows = _stacked(known).select(
-        F.col(unit).cast("bigint").alias("unit_id"), offset.alias("offset"), *[F.col(m).cast("double").alias(v) for m, v in zip(metrics, names)]
-    )
-    sums = rows.groupBy("unit_id").agg(
-        *[F.sum(F.when(F.col("offset") == d, F.col(v))).alias(f"{v}_{d}") for d in range(period) for v in names]
-    )
-    entries = F.array(*[
-        F.struct(F.lit(d).alias("offset"), *[F.coalesce(f"{v}_{d}", F.lit(0.0)).alias(v) for v in names]) for d in range(period)
-    ])
-    seen = F.filter(entries, lambda e: reduce(lambda a, b: a | b, [e[v] != 0 for v in names]))
-    days = sums.select("unit_id", seen.alias("days")).where(F.size("days") > 0)
-    return UnitSeries(days, tuple(metrics), start, period)
-
-
 def prepared(series: UnitSeries) -> UnitSeries:
     """The same series, materialised and counted: read by many jobs, spread by its size."""
     df, n_units = materialize_counted(series.df)

@@ -13,7 +13,7 @@ from splitlab.operators.metrics import UnitSeries
 from splitlab.operators.ranking import with_rank
 from splitlab.operators.stationarity import stationarity
 from splitlab.plans.config import SplitConfig
-from splitlab.plans.session import materialize
+from splitlab.plans.session import materialize, parallelism
 from splitlab.sources.salts import SaltSet, loss_order
 
 BATCH_SIZE = 500
@@ -44,7 +44,9 @@ class SaltWalk:
     def passed(self) -> DataFrame:
         """The tested salts that pass: (salt_id, salt, pae, index, stat_result, batch)."""
         in_reach = self.ranked.where(F.col("index") < self.n_batches * self.batch_size)
-        tested = stationarity(self.days, self.config, self.metrics).where("stat_result")
+        # By number: the days are few in bytes, but every series of a salt is tested.
+        spread = max(parallelism(self.days.sparkSession), int(self.days.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        tested = stationarity(self.days.repartition(spread, "salt_id"), self.config, self.metrics).where("stat_result")
         batch = F.floor(F.col("index") / self.batch_size).cast("bigint").alias("batch")
         return materialize(in_reach.join(tested.select("salt_id", "stat_result"), "salt_id").select(*self.ranked.columns, "stat_result", batch))
 

@@ -45,7 +45,7 @@ def unit_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def series_of(rows: DataFrame, cfg: SplitConfig) -> metrics.UnitSeries:
     """One row per unit, from events or unit-days, counted so that tasks are sized by it."""
-    return metrics.prepared(metrics.unit_series_of_frames([rows], M, cfg.start_date, cfg.period))
+    return metrics.prepared(metrics.unit_series(metrics.unit_day_metrics([rows], M), M, cfg.start_date, cfg.period))
 
 
 def salts(spark: SparkSession, cfg: SplitConfig) -> SaltSet:
