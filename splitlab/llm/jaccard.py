@@ -8,12 +8,16 @@ the common shingles are counted fragment by fragment and the counts summed.
 
 Links are wanted for components, so a list is not expanded into pairs. First every member is
 compared with one leader of its lists, the set with the list's shingle earliest; equal sets need
-no comparison. Then lists whose members still lie in different components, and only these, give
-all pairs between components that have not been compared and pass the length, position and parity
-bounds, one document for each set: no link is missed, and a group of k near copies costs about k
-comparisons. The parity bound rules out most pairs of edited copies below 0.8 inside the join, before
-they become rows: a set folds into PARITY bits, each the parity of the shingles that fall on it, so two
-sets differ in at least as many shingles as their folds differ in bits.
+no comparison. Then come rounds: lists whose members still lie in different components name
+leaders anew, one for the members whose sets have a like sketch, and members outside their leader's
+component are compared with it, so a round costs at most one comparison an entry and components merge from many sides. What rounds leave over are
+lists of sets that are alike and yet not linked. Only these give all pairs between components that
+have not been compared and pass the length, position and parity bounds, one document for each
+set: no link is missed, and a group of k linked copies costs about k comparisons a round. The pairs of a list meet by bands of
+size and in blocks of members, each cell a key of its own. The parity bound rules out most pairs of
+edited copies below 0.8 inside the join, before they become rows: a set folds into PARITY bits, each
+the parity of the shingles that fall on it, so two sets differ in at least as many shingles as
+their folds differ in bits.
 """
 
 from __future__ import annotations
@@ -37,12 +41,19 @@ COMMON_KEPT = 200_000
 # A list that has more members in one task is cut: the task's members form a list of their own, whose leader joins the shared one.
 LIST_PART = 64
 FRAGMENTS = 4
+# Rounds of leaders at most; they only save comparisons, the pairs between components come after them in any case.
+ROUNDS = 3
+# Bits of a sketch at most.
+SKETCH = 16
+# Members of a list, of one band of sizes, that meet in one cell.
+BLOCK = 512
 # Bits a set folds into, 64 in a column; more bits rule out more pairs of large sets.
 PARITY = 512
 FOLDS = [f"fold{i}" for i in range(PARITY // 64)]
 _CLASS_BITS = U(58)
 # Sizes of a link are within 0.8 of each other, and behind its first common shingle both sets have room for the overlap it needs.
-BOUNDS = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b) and 9 * least(n_a - place_a, n_b - place_b) >= 4 * (n_a + n_b)"
+SIZES = "5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
+BOUNDS = SIZES + " and 9 * least(n_a - place_a, n_b - place_b) >= 4 * (n_a + n_b)"
 
 # The sets of a link differ in at most a ninth of their summed sizes; a fold may be NULL and then rules out nothing.
 PARITY_BOUND = "coalesce(9 * (" + " + ".join(f"bit_count({f}_a ^ {f}_b)" for f in FOLDS) + ") <= n_a + n_b, true)"
@@ -223,19 +234,78 @@ def _links(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
     return checkpointed(summed.where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b"))
 
 
-def _between(lists: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of documents in different components that meet in a list and pass the bounds."""
-    one_set = F.min("set") == F.max("set")  # an id with several texts has no fold
-    folded = sets.groupBy("doc_id").agg(*(F.when(one_set, F.min(f)).alias(f) for f in FOLDS))
+def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, doc_id, place, n, root) of the lists whose members lie in several components."""
     rooted = broadcast_if_few(roots.select(F.col("node").alias("doc_id"), "root"))
     entries = lists.select("key", "doc_id", "place", "n").join(rooted, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    entries = entries.join(mixed, "key", "left_semi").join(folded, "doc_id")
-    a, b = (entries.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "place", *FOLDS))) for side in "ab")
-    return (
-        a.join(b, "key").where("root_a <> root_b and doc_id_a < doc_id_b").where(BOUNDS).where(PARITY_BOUND)
-        .select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
-    )
+    return entries.join(mixed, "key", "left_semi")
+
+
+def _folded(sets: DataFrame) -> DataFrame:
+    one_set = F.min("set") == F.max("set")  # an id with several texts has no fold
+    return sets.groupBy("doc_id").agg(*(F.when(one_set, F.min(f)).alias(f) for f in FOLDS))
+
+
+def _sided(entries: DataFrame, side: str, *columns: str) -> DataFrame:
+    return entries.select(*(F.col(c).alias(f"{c}_{side}") for c in ("doc_id", "n", "root", "place")), *columns)
+
+
+def _led(lists: DataFrame, roots: DataFrame, folds: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a mixed list's members with a leader, in different components and within the bounds.
+
+    A list has a leader for each of its sketches, some bits of the fold that changes with the round: near copies have
+    few odd shingles between them and mostly agree, members that only share a passage do not.
+    """
+    sketch = folds.select("doc_id", F.coalesce(FOLDS[turn], F.lit(0)).alias("fold"))
+    # Of the fold's bits so many that linked sets of this size agree in them half of the time.
+    bits = F.least(F.lit(SKETCH), F.floor(F.lit(0.69 * PARITY) / (F.col("n") * 2 / 9))).cast("int")
+    kin = F.col("fold").bitwiseAND(F.expr("shiftleft(1L, bits) - 1"))
+    entries = _mixed(lists, roots).join(sketch, "doc_id").withColumn("bits", bits).withColumn("kin", kin).drop("fold")
+    entries = checkpointed(entries)
+    names, group = ("doc_id", "n", "root", "place"), ("key", "bits", "kin")
+    leaders = entries.groupBy(*group).agg(F.min_by(F.struct(*names), F.struct(F.xxhash64("doc_id", "key", F.lit(turn)), "doc_id")).alias("l"))
+    leaders = leaders.select(*group, *(F.col(f"l.{c}").alias(f"{c}_a") for c in names))
+    met = _sided(entries, "b", *group).join(leaders, list(group)).where("root_a <> root_b").where(SIZES)
+    # Wherever they meet, a pair may be compared: the bound on places, which holds in a pair's first list, is for pairs that must be.
+    met = met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+    sizes = entries.groupBy("doc_id").agg(F.max("n").alias("n")).join(folds, "doc_id")
+    for side in "ab":
+        met = met.join(sizes.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *FOLDS))), side)
+    return met.where(PARITY_BOUND).select("a", "b")
+
+
+def _between(lists: DataFrame, roots: DataFrame, folds: DataFrame) -> DataFrame:
+    """Pairs of documents in different components that meet in a list and pass the bounds."""
+    entries = checkpointed(_mixed(lists, roots))
+    # Sizes of a link are within a factor of 5/4, so its bands are the same or neighbours.
+    entries = entries.withColumn("band", F.floor(F.log(1.25, "n") + 1e-9).cast("int"))
+    sizes = entries.groupBy("key", "band").agg(F.count("*").alias("m"))
+    blocks = sizes.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).select("key", "band", "blocks")
+    entries = checkpointed(entries.join(blocks, ["key", "band"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")))
+    full = entries.join(folds, "doc_id")
+    folds_of = {side: [F.col(f).alias(f"{f}_{side}") for f in FOLDS] for side in "ab"}
+    # A member comes to all blocks of its own band and of the next one, where smaller bands wait for larger ones.
+    waiting = _sided(full, "a", "key", "band", "block", *folds_of["a"])
+    reach = full.select("*", F.explode(F.array("band", F.col("band") - 1)).alias("to")).drop("blocks", "block")
+    reach = reach.join(blocks.withColumnRenamed("band", "to"), ["key", "to"])
+    coming = reach.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    coming = _sided(coming, "b", "key", F.col("to").alias("band"), "block", F.col("band").alias("own"), *folds_of["b"])
+    met = waiting.join(coming, ["key", "band", "block"]).where("root_a <> root_b and (own > band or doc_id_a < doc_id_b)").where(BOUNDS).where(PARITY_BOUND)
+    return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) after more links: only the components that they join are worked on."""
+    def root_of(side: str) -> DataFrame:
+        return roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}"))
+
+    between = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
+    between = between.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    more = checkpointed(components(between)).withColumnsRenamed({"node": "old", "root": "new"})
+    moved = roots.join(broadcast_if_few(more), F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    fresh = more.join(roots, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
+    return checkpointed(moved.union(fresh))
 
 
 def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -263,11 +333,20 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     met = lists.where("doc_id <> leader").where(bound).groupBy("doc_id", "leader").agg(F.count("*").alias("c"))
     pairs = checkpointed(met.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("a")))
     links = _links(pairs, named, common).union(equal)
-    roots = components(links)
+    roots = checkpointed(components(links))
+    folds = checkpointed(_folded(sets))
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = checkpointed(_between(lists, roots, sets).join(done, ["a", "b"], "left_anti"))
-    if more.limit(1).count():
-        more = _links(more, named, common)
-        roots = components(links.union(more))
+    for turn in range(ROUNDS + 1):
+        last = turn == ROUNDS
+        met = _between(lists, roots, folds) if last else _led(lists, roots, folds, turn)
+        more = checkpointed(met.join(done, ["a", "b"], "left_anti"))
+        if not more.limit(1).count():
+            if last:
+                break
+            continue
+        links = _links(more, named, common)
+        if links.limit(1).count():
+            roots = _merged(roots, links)
+        done = done.union(more)
     rooted = roots.select(F.col("node").alias("doc_id"), "root")
     return facts.join(rooted, "doc_id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").alias("component_id"))
