@@ -42,9 +42,11 @@ COMMON_KEPT = 200_000
 LIST_PART = 64
 FRAGMENTS = 4
 # Rounds of leaders at most; they only save comparisons, the pairs between components come after them in any case.
-ROUNDS = 3
+ROUNDS = 2
 # Bits of a sketch at most.
 SKETCH = 16
+# Folds that may be broadcast: 16 MB.
+FOLDS_SENT = 200_000
 # Members of a list, of one band of sizes, that meet in one cell.
 BLOCK = 512
 # Bits a set folds into, 64 in a column; more bits rule out more pairs of large sets.
@@ -202,8 +204,8 @@ def _lists(docs: DataFrame, common, n_tasks: int) -> DataFrame:
     return sent.mapInArrow(lead, "doc_id bigint, key bigint, place int, n bigint, leader bigint, leader_place int, leader_n bigint")
 
 
-def _segments(docs: DataFrame, wanted: DataFrame, common) -> DataFrame:
-    """(doc_id, fragment, keys) of the wanted documents: their sets, cut at the pivots of the global order."""
+def _segments(docs: DataFrame, wanted: DataFrame, common, unique: bool) -> DataFrame:
+    """(doc_id, fragment, keys) of the wanted documents: their sets, cut at the pivots of the global order; ``unique`` if no id repeats."""
     step = (1 << 58) // FRAGMENTS
     pivots = np.array([step * i for i in range(1, FRAGMENTS)], U)
 
@@ -218,13 +220,13 @@ def _segments(docs: DataFrame, wanted: DataFrame, common) -> DataFrame:
             )
 
     found = docs.join(broadcast_if_few(wanted), "doc_id").select("doc_id", "text").mapInArrow(run, "doc_id bigint, fragment int, keys array<bigint>")
-    return stored(found.dropDuplicates(["doc_id", "fragment"]))
+    return stored(found if unique else found.dropDuplicates(["doc_id", "fragment"]))
 
 
-def _links(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
+def _links(pairs: DataFrame, docs: DataFrame, common, unique: bool) -> DataFrame:
     """Pairs (a, b) whose partial overlaps, counted fragment by fragment, sum to a link."""
     wanted = checkpointed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    segments = _segments(docs, wanted, common)
+    segments = _segments(docs, wanted, common, unique)
     one = segments.select(F.col("doc_id").alias("b"), "fragment", F.col("keys").alias("of_b"))
     two = segments.select(F.col("doc_id").alias("a"), "fragment", F.col("keys").alias("of_a"))
     parts = pairs.join(one, "b").join(two, ["a", "fragment"]).select(
@@ -234,17 +236,22 @@ def _links(pairs: DataFrame, docs: DataFrame, common) -> DataFrame:
     return checkpointed(summed.where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b"))
 
 
-def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, doc_id, place, n, root) of the lists whose members lie in several components."""
+def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, doc_id, place, n, root)."""
     rooted = broadcast_if_few(roots.select(F.col("node").alias("doc_id"), "root"))
-    entries = lists.select("key", "doc_id", "place", "n").join(rooted, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    return lists.select("key", "doc_id", "place", "n").join(rooted, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+
+
+def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, doc_id, place, n, root) of the lists whose members lie in several components, written."""
+    entries = _rooted(lists, roots)
     mixed = entries.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    return entries.join(mixed, "key", "left_semi")
+    return stored(entries.join(mixed, "key", "left_semi"))
 
 
 def _folded(sets: DataFrame) -> DataFrame:
     one_set = F.min("set") == F.max("set")  # an id with several texts has no fold
-    return sets.groupBy("doc_id").agg(*(F.when(one_set, F.min(f)).alias(f) for f in FOLDS))
+    return sets.groupBy("doc_id").agg(F.max("n").alias("n"), *(F.when(one_set, F.min(f)).alias(f) for f in FOLDS))
 
 
 def _sided(entries: DataFrame, side: str, *columns: str) -> DataFrame:
@@ -261,35 +268,34 @@ def _led(lists: DataFrame, roots: DataFrame, folds: DataFrame, turn: int) -> Dat
     # Of the fold's bits so many that linked sets of this size agree in them half of the time.
     bits = F.least(F.lit(SKETCH), F.floor(F.lit(0.69 * PARITY) / (F.col("n") * 2 / 9))).cast("int")
     kin = F.col("fold").bitwiseAND(F.expr("shiftleft(1L, bits) - 1"))
-    entries = _mixed(lists, roots).join(sketch, "doc_id").withColumn("bits", bits).withColumn("kin", kin).drop("fold")
-    entries = checkpointed(entries)
+    entries = _rooted(lists, roots).join(broadcast_if_few(sketch), "doc_id").withColumn("bits", bits).withColumn("kin", kin).drop("fold")
     names, group = ("doc_id", "n", "root", "place"), ("key", "bits", "kin")
     leaders = entries.groupBy(*group).agg(F.min_by(F.struct(*names), F.struct(F.xxhash64("doc_id", "key", F.lit(turn)), "doc_id")).alias("l"))
     leaders = leaders.select(*group, *(F.col(f"l.{c}").alias(f"{c}_a") for c in names))
     met = _sided(entries, "b", *group).join(leaders, list(group)).where("root_a <> root_b").where(SIZES)
     # Wherever they meet, a pair may be compared: the bound on places, which holds in a pair's first list, is for pairs that must be.
     met = met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
-    sizes = entries.groupBy("doc_id").agg(F.max("n").alias("n")).join(folds, "doc_id")
+    sized = folds.select("doc_id", "n", *FOLDS)
     for side in "ab":
-        met = met.join(sizes.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *FOLDS))), side)
+        met = met.join(sized.select(F.col("doc_id").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *FOLDS))), side)
     return met.where(PARITY_BOUND).select("a", "b")
 
 
 def _between(lists: DataFrame, roots: DataFrame, folds: DataFrame) -> DataFrame:
     """Pairs of documents in different components that meet in a list and pass the bounds."""
-    entries = checkpointed(_mixed(lists, roots))
     # Sizes of a link are within a factor of 5/4, so its bands are the same or neighbours.
-    entries = entries.withColumn("band", F.floor(F.log(1.25, "n") + 1e-9).cast("int"))
-    sizes = entries.groupBy("key", "band").agg(F.count("*").alias("m"))
-    blocks = sizes.withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int")).select("key", "band", "blocks")
-    entries = checkpointed(entries.join(blocks, ["key", "band"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")))
-    full = entries.join(folds, "doc_id")
+    band = F.floor(F.log(1.25, "n") + 1e-9).cast("int")
+    entries = _mixed(lists, roots).withColumn("band", band)
+    blocks = entries.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
+    blocks = broadcast_if_few(checkpointed(blocks))
+    known = folds.drop("n").join(entries.select("doc_id").distinct(), "doc_id", "left_semi")
+    full = entries.join(broadcast_if_few(checkpointed(known), FOLDS_SENT), "doc_id")
+    own = full.join(blocks, ["key", "band"], "left").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1))).cast("int"))
     folds_of = {side: [F.col(f).alias(f"{f}_{side}") for f in FOLDS] for side in "ab"}
     # A member comes to all blocks of its own band and of the next one, where smaller bands wait for larger ones.
-    waiting = _sided(full, "a", "key", "band", "block", *folds_of["a"])
-    reach = full.select("*", F.explode(F.array("band", F.col("band") - 1)).alias("to")).drop("blocks", "block")
-    reach = reach.join(blocks.withColumnRenamed("band", "to"), ["key", "to"])
-    coming = reach.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    waiting = _sided(own, "a", "key", "band", "block", *folds_of["a"])
+    reach = full.select("*", F.explode(F.array("band", F.col("band") - 1)).alias("to")).join(blocks.withColumnRenamed("band", "to"), ["key", "to"], "left")
+    coming = reach.withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
     coming = _sided(coming, "b", "key", F.col("to").alias("band"), "block", F.col("band").alias("own"), *folds_of["b"])
     met = waiting.join(coming, ["key", "band", "block"]).where("root_a <> root_b and (own > band or doc_id_a < doc_id_b)").where(BOUNDS).where(PARITY_BOUND)
     return met.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
@@ -332,9 +338,11 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     bound = BOUNDS.replace("n_a", "n").replace("n_b", "leader_n").replace("place_a", "place").replace("place_b", "leader_place")
     met = lists.where("doc_id <> leader").where(bound).groupBy("doc_id", "leader").agg(F.count("*").alias("c"))
     pairs = checkpointed(met.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("a")))
-    links = _links(pairs, named, common).union(equal)
+    unique = not named.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    links = _links(pairs, named, common, unique).union(equal)
     roots = checkpointed(components(links))
-    folds = checkpointed(_folded(sets))
+    folds = stored(_folded(sets))
+    lists = _mixed(lists, roots).drop("root")
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for turn in range(ROUNDS + 1):
         last = turn == ROUNDS
@@ -344,7 +352,7 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
             if last:
                 break
             continue
-        links = _links(more, named, common)
+        links = _links(more, named, common, unique)
         if links.limit(1).count():
             roots = _merged(roots, links)
         done = done.union(more)
