@@ -191,7 +191,7 @@ KPSS_P = """CASE WHEN kpss <= 0.347 THEN 0.10 WHEN kpss >= 0.739 THEN 0.01
     WHEN kpss < 0.739 THEN 0.025 - 0.015 * (kpss - 0.574) / (0.739 - 0.574) END"""
 DICKEY_FULLER = [
     "steps AS (SELECT salt, test, metric, LAG(x) OVER s AS x0, x - LAG(x) OVER s AS dx FROM centred "
-    "WINDOW s AS (PARTITION BY salt, test, metric ORDER BY day))",
+    "JOIN defined USING (salt, test, metric) WHERE ok WINDOW s AS (PARTITION BY salt, test, metric ORDER BY day))",
     """df AS (SELECT salt, test, metric, REGR_SLOPE(dx, x0)
         / SQRT((REGR_SYY(dx, x0) - REGR_SLOPE(dx, x0) * REGR_SXY(dx, x0)) / (REGR_COUNT(dx, x0) - 2) / REGR_SXX(dx, x0))
         AS df_stat FROM steps GROUP BY ALL)""",
