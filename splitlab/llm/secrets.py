@@ -82,16 +82,19 @@ def _tested(df: DataFrame) -> DataFrame:
     classes = "translate(x.token, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789', repeat('A', 26) || repeat('a', 26) || repeat('0', 10))"
     # A token of one class has no evidence against the ordinary word.
     several = "(x.token rlike '[0-9]' and x.token rlike '[A-Za-z]' or x.token rlike '[a-z]' and x.token rlike '[A-Z]')"
+    # Squared counts of the letters, one scan of the token a letter: linear in its length.
+    count = "(length(x.plain) - length(replace(x.plain, substr(x.alphabet, j, 1), '')))"
+    squares = f"aggregate(sequence(1, length(x.alphabet)), 0D, (s, j) -> s + {count} * double({count}))"
     steps = [
         # token, its alphabet, its characters as letters of classes
         f"""transform(filter(__found, x -> {several}), x -> named_struct(
             'start', x.start, 'end', x.end, 'alphabet', {alphabet}, 'plain', {plain}, 'classes', {classes}))""",
-        """transform(filter(__t, x -> x.alphabet is not null and length(x.plain) >= 2), x -> named_struct('start', x.start, 'end', x.end,
+        f"""transform(filter(__t, x -> x.alphabet is not null and length(x.plain) >= 2), x -> named_struct('start', x.start, 'end', x.end,
             'k', length(x.alphabet), 'n', length(x.plain),
-            'changes', aggregate(sequence(2, length(x.classes)), 0, (s, i) -> s + int(substr(x.classes, i, 1) <> substr(x.classes, i - 1, 1))),
-            'v', transform(sequence(1, length(x.plain)), i -> instr(x.alphabet, substr(x.plain, i, 1)) - 1)))""",
-        """transform(__t, x -> named_struct('start', x.start, 'end', x.end, 'k', x.k, 'n', x.n, 'changes', x.changes,
-            'squares', aggregate(x.v, 0, (s, z) -> s + size(filter(x.v, y -> y = z))),
+            'classes', filter(split(x.classes, ''), c -> c <> ''), 'squares', {squares},
+            'v', transform(filter(split(x.plain, ''), c -> c <> ''), c -> instr(x.alphabet, c) - 1)))""",
+        """transform(__t, x -> named_struct('start', x.start, 'end', x.end, 'k', x.k, 'n', x.n, 'squares', x.squares,
+            'changes', aggregate(sequence(1, size(x.classes) - 1), 0, (s, i) -> s + int(x.classes[i] <> x.classes[i - 1])),
             'mean', aggregate(x.v, 0D, (s, z) -> s + z) / x.n,
             'high', size(filter(x.v, z -> 2 * z >= x.k)),
             'runs', 1 + aggregate(sequence(1, x.n - 1), 0, (s, i) -> s + int((2 * x.v[i] >= x.k) <> (2 * x.v[i - 1] >= x.k))),
@@ -106,7 +109,7 @@ def _tested(df: DataFrame) -> DataFrame:
             'random', (power(x.chi / (x.k - 1), 1/3D) - (1 - 2D / (9 * (x.k - 1)))) / sqrt(2D / (9 * (x.k - 1))) <= {Z_LIMIT}
                 and abs(x.serial) <= {Z_LIMIT}
                 and coalesce(abs(try_divide(x.runs - 1 - 2 * x.high * x.low / x.n,
-                    sqrt(greatest(2 * x.high * x.low * (2 * x.high * x.low - x.n) / (x.n * x.n * (x.n - 1D)), 0D)))) <= {Z_LIMIT}, false),
+                    sqrt(greatest(2 * x.high * x.low * (2 * x.high * x.low - x.n) / (double(x.n) * x.n * (x.n - 1D)), 0D)))) <= {Z_LIMIT}, false),
             'evidence', if(x.share > {CLASS_CHANGE}, (x.end - x.start - 1) * (x.share * ln(x.share / {CLASS_CHANGE})
                 + if(x.share < 1, (1 - x.share) * ln((1 - x.share) / {1 - CLASS_CHANGE}), 0D)) / ln(10), 0D)))""",
         f"transform(__t, x -> named_struct('start', x.start, 'end', x.end, 'stratum', x.stratum, 'bin', if(x.random, least(int(x.evidence), {BINS}), -1)))",

@@ -366,3 +366,13 @@ def test_pipeline_stages_on_awkward_rows(spark, odd, empty):
             out = stage(spark, table, SF_DIR)
             assert out.columns == table.columns, name
             assert out.count() == {"ngram_jaccard_join": len(ROWS) - 5}.get(name, len(ROWS)) * (table is odd), name
+
+
+def test_long_token_is_tested_whole(spark):
+    """Linear in the token: 200,000 characters, whose counts no longer fit 32-bit products."""
+    rng = np.random.default_rng(8)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    token = "".join(rng.choice(letters, 200_000))
+    rows = spark.createDataFrame([(1, f"x {token} y"), (2, "z" * 200_000)], "doc_id bigint, text string")
+    got = {r.doc_id: [tuple(s) for s in r.secrets] for r in secrets.scan(rows).collect()}
+    assert got == {1: [(2, 3, 200_002)], 2: []}
