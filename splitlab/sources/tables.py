@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -19,12 +20,29 @@ def table_name(account: str, kind: str, run_date: date | str, *parts: object) ->
 def replace_table(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
     """Write a frame as a table in place of any table of that name.
 
+    The rows go to a table of a name of its own first. Only when they are all written do names
+    change: the old table steps aside, the new one takes its name, the old one is dropped. A failed
+    write leaves the old table as it was, and a frame may be read from the table that it replaces.
     The rebalance hint lets adaptive execution write files of the advisory size, and split a
     partition that holds most of the rows.
     """
+    spark = df.sparkSession
+    written, aside = (f"{name}__{kind}_{uuid.uuid4().hex[:12]}" for kind in ("new", "old"))
     columns = [F.col(c) for c in partition_by]
-    writer = df.hint("rebalance", *columns).write.mode("overwrite").format("parquet")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    writer = df.hint("rebalance", *columns).write.format("parquet")
+    try:
+        (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(written)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {written}")
+        raise
+    replaced = spark.catalog.tableExists(name)
+    if replaced:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {aside}")
+    spark.sql(f"ALTER TABLE {written} RENAME TO {name}")
+    if partition_by:  # the catalog may still know the partitions by their folders of before
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    if replaced:
+        spark.sql(f"DROP TABLE {aside}")
 
 
 def latest_table(spark: SparkSession, pattern: str, database: str | None = None) -> str:

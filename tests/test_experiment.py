@@ -87,3 +87,18 @@ def test_tables_are_replaced_and_exported(spark, tmp_path):
     assert table_name("a", "kind", "2019-03-01", "nsalt", 5) == "a_kind_20190301_nsalt_5"
     with pytest.raises(LookupError):
         latest_table(spark, "no_such_table_*")
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    replace_table(spark.range(5).toDF("v"), "kept_on_failure")
+    broken = spark.range(3).select(F.when(F.col("id") < 2, F.col("id")).otherwise(F.raise_error(F.lit("no")).cast("bigint")).alias("v"))
+    with pytest.raises(Exception, match="no"):
+        replace_table(broken, "kept_on_failure")
+    assert spark.table("kept_on_failure").count() == 5
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("kept_on_failure")] == ["kept_on_failure"]
+
+
+def test_a_table_can_be_replaced_by_what_is_read_from_it(spark):
+    replace_table(spark.range(6).selectExpr("id AS v", "id % 2 AS part"), "replaced_by_itself", ["part"])
+    replace_table(spark.table("replaced_by_itself").where("v > 3"), "replaced_by_itself")
+    assert sorted(r.v for r in spark.table("replaced_by_itself").collect()) == [4, 5]
