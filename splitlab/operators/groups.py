@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from hashlib import md5
 
 import numpy as np
@@ -177,16 +178,22 @@ def group_rows(days: DataFrame, groups: Sequence[int], metrics: Sequence[str]) -
 def assign_units(units: DataFrame, salts: SaltSet, weights: Sequence[int], unit: str = "unit_id") -> DataFrame:
     """(unit_id, salt_id, salt, bucket) for every unit under every salt.
 
-    The salts of a block ride along in one array per block, so each unit row expands by itself.
+    The salts of a block ride along in one array per block, so each unit row expands by itself. More
+    than BROADCAST_ROWS salts are broadcast in as many parts, each within that bound.
     """
     ids = units.where(F.col(unit).isNotNull()).select(F.col(unit).cast("bigint").alias("unit_id"))
     blocks, chunks = work_grid(salts.n, 1, 1, parallelism(units.sparkSession))
-    listed = salts.df.groupBy(F.pmod(F.col("salt_id"), F.lit(blocks)).cast("int").alias("block")).agg(
-        F.collect_list(F.struct("salt_id", "salt")).alias("salts")
-    )
     block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     cell = F.col("block") * chunks + F.pmod(F.xxhash64("unit_id"), F.lit(chunks)).cast("int")
     placed = ids.withColumn("block", block).repartitionById(blocks * chunks, cell)
-    rows = placed.join(F.broadcast(listed) if salts.n <= BROADCAST_ROWS else listed, "block")
-    expanded = rows.select("unit_id", F.inline("salts"))
+    parts = max(1, -(-salts.n // BROADCAST_ROWS))
+
+    def under(part: int) -> DataFrame:
+        some = salts.df.where(F.pmod(F.floor(F.col("salt_id") / blocks), F.lit(parts)) == part) if parts > 1 else salts.df
+        listed = some.groupBy(F.pmod(F.col("salt_id"), F.lit(blocks)).cast("int").alias("block")).agg(
+            F.collect_list(F.struct("salt_id", "salt")).alias("salts")
+        )
+        return placed.join(F.broadcast(listed), "block").select("unit_id", F.inline("salts"))
+
+    expanded = reduce(DataFrame.union, map(under, range(parts)))
     return expanded.withColumn("bucket", assign_group(F.col("unit_id"), F.col("salt"), weights))

@@ -19,14 +19,15 @@ class SplitConfig:
     """How units are split, which groups are compared, and which days are looked at.
 
     ``exp_weights`` are the weights of the hash buckets, ``exp_groups`` the number of consecutive
-    buckets of each experiment group; ``control`` and ``test`` name groups by position.
+    buckets of each experiment group; ``control`` and ``test`` name groups by position. Weights left
+    out are those of the account that the experiment reads.
     """
 
     run_date: date | str
     exp_groups: Sequence[int]
     control: int | Sequence[int]
     test: int | Sequence[int]
-    exp_weights: Sequence[int]
+    exp_weights: Sequence[int] | None = None
     period: int = 42
     base_salt: str = "B"
     ntrials: int = 2000
@@ -39,7 +40,8 @@ class SplitConfig:
         unknown = [g for g in self.control + self.test if not 0 <= g < n_groups]
         if unknown:
             raise ValueError(f"groups {unknown} are outside the {n_groups} experiment groups")
-        self.slots  # fails here when the groups do not cover the buckets
+        if self.exp_weights is not None:
+            self.slots  # fails here when the groups do not cover the buckets
 
     @property
     def start_date(self) -> date:
@@ -51,4 +53,6 @@ class SplitConfig:
 
     @property
     def slots(self) -> list[int]:
+        if self.exp_weights is None:
+            raise ValueError("no bucket weights: neither given nor taken from an account")
         return group_of_slot(self.exp_weights, self.exp_groups)

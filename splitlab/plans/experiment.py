@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from functools import cached_property
 
@@ -25,7 +25,8 @@ PERCENT = 100
 class Metric:
     """A metric by name and the frame that holds it: ``compute(start, end)`` -> (unit, day, name).
 
-    With ``cuped_weeks`` the metric is adjusted by its total on the unit that many weeks before.
+    With ``cuped_weeks`` the metric is adjusted by its value on the unit and the day that many weeks
+    before; ``operators.cuped.cuped_by_unit`` adjusts totals of units.
     """
 
     name: str
@@ -49,15 +50,18 @@ class Experiment:
     """Salt selection and bootstrap for one configuration.
 
     ``unit_days`` holds the metrics by unit and day. It is turned into one row per unit once, and
-    that table is materialised and counted, since every method regroups it.
+    that table is materialised and counted, since every method regroups it. ``test_remainder`` and
+    ``cumulative`` are those of the salt walk and of its table.
     """
 
     def __init__(
         self, config: SplitConfig, unit_days: DataFrame, metrics: Sequence[str], unit: str = UNIT, day: str = DAY,
-        batch_size: int = 500, min_salts: int = 100,
+        batch_size: int = 500, min_salts: int = 100, test_remainder: bool = True, cumulative: bool = False,
     ):
+        config.slots  # needed by every method
         self.config, self.metrics = config, list(metrics)
         self.batch_size, self.min_salts = batch_size, min_salts
+        self.test_remainder, self.cumulative = test_remainder, cumulative
         self.unit_days = unit_day_metrics([unit_days.select(unit, day, *metrics)], metrics, unit, day)
         self._unit, self._day = unit, day
         self.spark = unit_days.sparkSession
@@ -71,11 +75,17 @@ class Experiment:
     @classmethod
     def from_account(
         cls, config: SplitConfig, account: type[Account],
-        metrics: Sequence[str] = ("nits_bookings", "nits_profit"), **sources,
+        metrics: Sequence[str] = ("nits_bookings", "nits_profit"), walk: dict | None = None, **sources,
     ):
-        """All metrics come from one run of the account's report."""
+        """All metrics come from one run of the account's report.
+
+        A configuration without bucket weights takes the account's; ``walk`` holds options of the
+        constructor.
+        """
+        if config.exp_weights is None:
+            config = replace(config, exp_weights=account.weights)
         report = account(config.start_date, config.end_date, pos=config.pos, **sources)
-        return cls(config, report.get_metrics(metrics), metrics)
+        return cls(config, report.get_metrics(metrics), metrics, **(walk or {}))
 
     @cached_property
     def series(self) -> UnitSeries:
@@ -87,7 +97,8 @@ class Experiment:
         return generate_salts(self.spark, self.config.base_salt, self.config.run_date, self.config.ntrials)
 
     def walk(self, version: int = 1, **options) -> SaltWalk:
-        return SaltWalk(self.series, self.salts, self.config, version, batch_size=self.batch_size, **options)
+        options = {"batch_size": self.batch_size, "test_remainder": self.test_remainder} | options
+        return SaltWalk(self.series, self.salts, self.config, version, **options)
 
     def get_smart_salt(self) -> tuple[str, float]:
         """The best stationary salt and its loss in percent."""
@@ -95,7 +106,7 @@ class Experiment:
         return best["salt"], best["pae"] * PERCENT
 
     def get_smart_salt_table(self, version: int = 1) -> DataFrame:
-        table = smart_salt_table(self.walk(version), self.min_salts)
+        table = smart_salt_table(self.walk(version), self.min_salts, self.cumulative)
         return table.select("salt", "pae", "index", "stat_result")
 
     def get_smart_salt_table_v2(self) -> DataFrame:

@@ -10,7 +10,7 @@ import plain_statistics as student
 import twins
 from splitlab.functions import probability
 from splitlab.operators import analysis
-from splitlab.operators.cuped import cuped_adjust, cuped_metrics
+from splitlab.operators.cuped import cuped_adjust, cuped_by_unit, cuped_metrics
 
 START = dt.date(2024, 1, 1)
 
@@ -182,3 +182,38 @@ def test_cuped(spark):
     seen = []
     cuped_metrics(lambda a, b: seen.append((a, b)) or current, "2024-01-15", "2024-01-28", 2, ["m"], ["exp_name", "unit_id"])
     assert seen[1] == (dt.date(2024, 1, 1), dt.date(2024, 1, 14))
+
+
+def test_cuped_by_unit_has_a_theta_for_each_experiment(spark):
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame(
+        [(u, START + dt.timedelta(days=d), 5 + u % 7 + rng.normal()) for u in range(60) for d in range(28) if u % 9 or d > 20],
+        columns=["unit_id", "day", "m"],
+    )
+    listed = [("a", u, 14, 27) for u in range(0, 60, 2)] + [("b", u, 17, 23) for u in range(0, 60, 3)] + [(None, 1, 14, 27), (None, 7, 14, 20), ("a", None, 14, 27)]
+    listed += [("a", 0, 14, 20), ("b", 999, 17, 23)]  # listed twice; without rows
+    exposures = spark.createDataFrame(
+        [(e, u, START + dt.timedelta(days=s), START + dt.timedelta(days=t)) for e, u, s, t in listed],
+        "exp_name string, unit_id long, start_date date, end_date date",
+    )
+    rows = cuped_by_unit(spark.createDataFrame(frame), exposures, ["m"], 2).collect()
+    expected = {}
+    for e, u, s, t in listed:
+        if u is not None and (e, u) not in expected:
+            mine = frame[frame.unit_id == u]
+            at = mine.day.map(lambda x: (x - START).days)
+            expected[e, u] = (mine.m[at.between(s, t)].sum(), mine.m[at.between(s - 14, t - 14)].sum())
+    assert len(rows) == len(expected) and {(r.exp_name, r.unit_id) for r in rows} == expected.keys()
+    for name in ("a", "b", None):
+        now, before = np.array([v for (e, _), v in expected.items() if e == name]).T
+        theta = np.cov(before, now)[0, 1] / before.var(ddof=1)
+        found = {r.unit_id: (r.m, r.prev_m, r.cuped_m) for r in rows if r.exp_name == name}
+        for (e, u), (m, prev) in expected.items():
+            if e == name:
+                assert found[u] == pytest.approx((m, prev, m - theta * prev))
+
+
+def test_cuped_by_unit_of_nobody(spark):
+    days = spark.createDataFrame([], "unit_id long, day date, m double")
+    exposures = spark.createDataFrame([], "exp_name string, unit_id long, start_date date, end_date date")
+    assert cuped_by_unit(days, exposures, ["m"], 2).collect() == []

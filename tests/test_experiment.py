@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from test_accounts import performance
 from test_groups import unit_days
 
 M = ["m1", "m2"]
+START_DAY = dt.date(2024, 1, 3)
 
 
 @pytest.fixture(scope="module")
@@ -102,3 +105,31 @@ def test_a_table_can_be_replaced_by_what_is_read_from_it(spark):
     replace_table(spark.range(6).selectExpr("id AS v", "id % 2 AS part"), "replaced_by_itself", ["part"])
     replace_table(spark.table("replaced_by_itself").where("v > 3"), "replaced_by_itself")
     assert sorted(r.v for r in spark.table("replaced_by_itself").collect()) == [4, 5]
+
+
+def test_account_weights_fill_in(spark):
+    rows = [(u, START_DAY, "US", 1, 1.0, 1, 5.0, 6.0, 2.0, 1) for u in range(4)]
+    config = SplitConfig("2024-01-15", [10, 10], 1, 0, period=14, ntrials=2, pos="US")
+    experiment = Experiment.from_account(
+        config, accounts.SimpleAccount, walk={"cumulative": True, "test_remainder": False, "batch_size": 2}, performance_table=performance(spark, rows)
+    )
+    assert experiment.config.exp_weights == [1] * 20 and experiment.config.slots == [0] * 10 + [1] * 10
+    assert experiment.cumulative and not experiment.test_remainder and experiment.batch_size == 2
+    with pytest.raises(ValueError, match="weights"):  # this account leaves them to the caller
+        Experiment(SplitConfig("2024-01-15", [10, 10], 1, 0), performance(spark, rows), ["clicks"])
+
+
+def test_walk_options_reach_the_table(spark):
+    _, df = unit_days(spark, units=50, days=14, seed=2)
+    config = SplitConfig("2024-01-15", [2, 3, 5], 2, [0, 1], [1] * 10, 14, "B", 50)
+
+    def table(**options):
+        return {r["index"] for r in Experiment(config, df, M, "unit_id", "day", batch_size=20, **options).get_smart_salt_table().collect()}
+
+    passing = table(min_salts=10**6)
+    assert passing and table(min_salts=10**6, test_remainder=False) == {i for i in passing if i < 40}
+    firsts = sorted(passing)
+    needed = sum(i < 20 for i in firsts) + 1
+    if len(firsts) >= needed:
+        last = firsts[needed - 1] // 20
+        assert table(min_salts=needed, cumulative=True) == {i for i in firsts if i // 20 <= last}

@@ -93,3 +93,12 @@ def test_repeated_unit_days_add_up(spark):
     days = group_days(unit_series(df, ["m1"], "2024-01-01", 3), generate_salts(spark, "B", "2024-01-10", 2), [0])
     got = {(r.salt_id, str(r.day)): (r.m1, r.n_units) for r in group_rows(days, [0], ["m1"]).collect()}
     assert len(got) == 4 and all(v == ((12.0, 1) if d == "2024-01-01" else (1.0, 1)) for (_, d), v in got.items())
+
+
+def test_more_salts_than_one_broadcast(spark, monkeypatch):
+    _, df = unit_days(spark, units=9, days=2, keep=1.0)
+    salts = generate_salts(spark, "B", "2024-01-15", 37)
+    units = df.select("unit_id").distinct()
+    whole = sorted(map(tuple, assign_units(units, salts, [2, 1, 2]).collect()))
+    monkeypatch.setattr(groups, "BROADCAST_ROWS", 10)
+    assert sorted(map(tuple, assign_units(units, salts, [2, 1, 2]).collect())) == whole and len(whole) == 9 * 37

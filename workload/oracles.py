@@ -566,6 +566,26 @@ def cuped() -> str:
         {adjusted('m1')} AS cuped_m1, {adjusted('m2')} AS cuped_m2 FROM merged""")
 
 
+def cuped_unit_level() -> str:
+    def total(m: str, name: str, weeks: int) -> str:
+        days = f"day BETWEEN first - {7 * weeks} AND last - {7 * weeks}"
+        return f"COALESCE(SUM(CASE WHEN {days} THEN {m} END), 0) AS {name}"
+
+    def adjusted(m: str) -> str:
+        return r(f"{m} - theta_{m} * prev_{m}")
+
+    sums = ", ".join(total(m, prefix + m, weeks) for weeks, prefix in ((0, ""), (2, "prev_")) for m in ("m1", "m2"))
+    thetas = ", ".join(f"COVAR_SAMP(prev_{m}, {m}) / VAR_SAMP(prev_{m}) AS theta_{m}" for m in ("m1", "m2"))
+    return query([
+        UNIT_DAY, "units AS (SELECT DISTINCT unit_id FROM unit_day)",
+        f"""exposed AS (SELECT 'exp0' AS exp_name, unit_id, DATE '{EXPERIMENT_START}' AS first, DATE '2024-01-29' AS last FROM units WHERE unit_id % 2 = 0
+            UNION ALL SELECT 'exp1', unit_id, DATE '2024-01-19', DATE '2024-01-29' FROM units WHERE unit_id % 2 = 1 OR unit_id % 3 = 0)""",
+        f"totals AS (SELECT exp_name, unit_id, {sums} FROM exposed LEFT JOIN unit_day USING (unit_id) GROUP BY exp_name, unit_id)",
+        f"thetas AS (SELECT exp_name, {thetas} FROM totals GROUP BY exp_name)",
+    ], f"""SELECT exp_name, unit_id, {integers('m1 prev_m1')}, {rounded('m2 prev_m2')},
+        {adjusted('m1')} AS cuped_m1, {adjusted('m2')} AS cuped_m2 FROM totals JOIN thetas USING (exp_name)""")
+
+
 def trend_pvalue() -> str:
     """Between the critical values with trend for 25 observations and fewer; the dashboard has no longer pre period."""
     points = [(-4.38, 0.01), (-3.95, 0.025), (-3.60, 0.05), (-3.24, 0.10), (-1.14, 0.90), (-0.80, 0.95), (-0.50, 0.975), (-0.15, 0.99)]
@@ -711,6 +731,7 @@ ORACLES: dict[str, str] = {
                    AS device, COUNT(*) AS n
         FROM reservation r JOIN affiliate a ON a.id = r.affiliate_id GROUP BY ALL"""),
     "cuped_adjusted": cuped(),
+    "cuped_unit_level": cuped_unit_level(),
     "pre_rmse": query(dashboard(True), f"""
         SELECT logic AS comparison, {r('SQRT(AVG(POW(y - x, 2)))')} AS rmse FROM pairs WHERE phase = 'pre' GROUP BY logic"""),
     "pre_stationarity": pre_stationarity(),

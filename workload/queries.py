@@ -404,6 +404,19 @@ def cuped_adjusted(spark, sf_dir):
     return rounded(cuped.cuped_metrics(compute, EXPERIMENT_START, "2024-01-29", 2, M, ["exp_name", "unit_id"]))
 
 
+def cuped_unit_level(spark, sf_dir):
+    """Two experiments of different windows that share every third user; a theta for each."""
+    days = materialize(unit_days(spark, sf_dir))
+    units = days.select("unit_id").distinct()
+
+    def listed(name: str, start: str, who: str) -> DataFrame:
+        return units.where(who).select(F.lit(name).alias("exp_name"), "unit_id", F.lit(start).cast("date").alias("start_date"),
+                                       F.lit("2024-01-29").cast("date").alias("end_date"))
+
+    exposures = listed("exp0", EXPERIMENT_START, "unit_id % 2 = 0").union(listed("exp1", "2024-01-19", "unit_id % 2 = 1 OR unit_id % 3 = 0"))
+    return rounded(cuped.cuped_by_unit(days, exposures, M, 2))
+
+
 QUERIES: dict[str, Query] = {
     "salt_table": salt_table,
     "calendar_days": calendar_days,
@@ -453,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "label_fields": label_fields,
     "affiliate_fields": affiliate_fields,
     "cuped_adjusted": cuped_adjusted,
+    "cuped_unit_level": cuped_unit_level,
     "pre_rmse": pre_rmse,
     "pre_stationarity": pre_stationarity,
     "welch_ttest": welch_ttest,
