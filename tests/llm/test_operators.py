@@ -162,6 +162,24 @@ def test_compact_windows_hold_every_minimum():
             assert [tuple(w) for w in found if w[0] <= x <= w[1] <= y <= w[2]][0][1] == c
 
 
+def test_windows_of_a_passage_that_many_documents_share(spark, monkeypatch):
+    """Several rows of requests for one document; words of several bytes, odd white space, whole copies counted in words."""
+    monkeypatch.setattr(windows, "ASKED", 8)
+    passage = " ".join(f"wör{k}d" for k in range(70))
+    rows = [(i, " ".join(f"a{i}x{k}" for k in range(20 + i % 7)) + "\t\n" + passage.upper().replace("Ö", "ö") + "  " + f"z{i} " * 3) for i in range(60)]
+    rows += [(100, "  " + " \x0b ".join(f"c{k}" for k in range(50))), (101, "  " + " \x0b ".join(f"c{k}" for k in range(50))), (102, "c1 " * 49), (103, "c1 " * 49)]
+    found = windows.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for i in range(1, 60):
+        first = 20 + i % 7
+        assert any(r.doc_id == i and r.source_id < i and r.first_word <= first and r.last_word >= first + 70 for r in found), i
+    assert [(r.doc_id, r.source_id, r.first_word, r.last_word) for r in found if r.doc_id >= 100] == [(101, 100, 0, 50)]
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", t.lower()) for i, t in rows}
+    for r in found:  # what is said of a pair holds for its words
+        of_b, of_a = words[r.doc_id][r.first_word : r.last_word], words[r.source_id][r.source_first : r.source_last]
+        a, b = ({tuple(x[k : k + 5]) for k in range(len(x) - 4)} for x in (of_a, of_b))
+        assert r.jaccard == pytest.approx(len(a & b) / len(a | b)) and r.jaccard >= 0.8
+
+
 def test_windows_on_awkward_rows(odd, empty):
     got = {(r.doc_id, r.source_id) for r in windows.repeats(odd).collect()}
     assert (7, 6) in got and (8, 6) in got and not {g[0] for g in got} & {1, 2, 3, None}
