@@ -163,7 +163,7 @@ class Account:
         """Valid reservations made in the window under matching affiliates, with ``dimensions``."""
         made = self.source("reservation_table").where(in_days_ts(F.col("created"), self.start_date, self.end_date))
         valid = valid_reservations(made, self.max_rpb, cap_inclusive)
-        return valid.join(self.affiliates(name_pattern), "affiliate_id").select(
+        return valid.join(broadcast_if_small(self.affiliates(name_pattern)), "affiliate_id").select(
             F.col("id").alias("hotelreservation_id"),
             labels.unit_of(F.col("label"), F.col(UNIT)).alias(UNIT),
             F.to_date("created").alias(DAY),
@@ -228,7 +228,7 @@ class TwoSidedAccount(Account):
         return outer_merge([clicks, revenue], self.dimensions)
 
     def cancellation_rows(self) -> DataFrame:
-        rows = self.cancelled().join(self.affiliates(labels.NAME_CORE), "affiliate_id")
+        rows = self.cancelled().join(broadcast_if_small(self.affiliates(labels.NAME_CORE)), "affiliate_id")
         return rows.withColumns({
             "locale": labels.locale_of(F.col("label")),
             "device": labels.device_of(F.col("label"), F.col("affiliate_name")),
@@ -281,7 +281,7 @@ class PlacementAccount(Account):
 
     def cancellation_rows(self) -> DataFrame:
         name = F.col("affiliate_name")
-        rows = self.cancelled().join(self.affiliates(self.any_placement), "affiliate_id")
+        rows = self.cancelled().join(broadcast_if_small(self.affiliates(self.any_placement)), "affiliate_id")
         return rows.withColumns({"distribution": labels.name_part(name, 1), "placement": labels.name_part(name, 2)})
 
 
@@ -305,7 +305,7 @@ class SimpleAccount(Account):
     def cancellation_rows(self) -> DataFrame:
         rows = self.of_partner(self.cancelled(closed=False))
         sales = self.source("affiliate_table").select("affiliate_id", F.col("distribution").alias("pos"))
-        return rows.join(sales, "affiliate_id").withColumn(UNIT, F.coalesce("dest_id", UNIT).cast("int"))
+        return rows.join(broadcast_if_small(sales), "affiliate_id").withColumn(UNIT, F.coalesce("dest_id", UNIT).cast("int"))
 
 
 class CampaignAccount(Account):
@@ -321,7 +321,7 @@ class CampaignAccount(Account):
         return rows if self.pos == ["All"] else rows.where(F.col("pos").isin(self.pos))
 
     def in_pos(self, rows: DataFrame) -> DataFrame:
-        return rows.join(self.campaigns(), "campaign_id")
+        return rows.join(broadcast_if_small(self.campaigns()), "campaign_id")
 
     def report_rows(self, source: str) -> DataFrame:
         rows = self.source(source).where(in_days(F.col(DAY), self.start_date, self.end_date))

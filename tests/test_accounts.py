@@ -189,3 +189,12 @@ def test_null_unit_groups_do_not_meet(spark, two_sided):
         spark.createDataFrame([(None, 5.0)], "hotel_id int, b double"),
     ], ["hotel_id"])
     assert sorted((r.a or 0, r.b or 0) for r in merged.collect()) == [(0, 5.0), (3.0, 0)]
+
+
+def test_facts_are_not_dealt_by_affiliate(two_sided, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = two_sided().get_cancellations()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [affiliate_id" in plan and "hashpartitioning(affiliate_id" not in plan
