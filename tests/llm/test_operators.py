@@ -289,6 +289,18 @@ def test_personal_data(spark, odd, empty):
     assert pii.find(odd).count() == len(ROWS) and pii.find(empty).count() == 0
 
 
+def test_personal_data_counts_by_kind(spark, tmp_path):
+    rows = [(1, "a@b.co 1.2.3.4 c@d.org"), (2, "4111 1111 1111 1111 and +49 (30) 1234567"), (3, "1.2.3.4 1.2.3.5 1.2.3.6 1.2.3.7"), (4, None), (None, "a@b.co"), (1, "x@y.z")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r.doc_id, r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in q.op8_pii(spark, str(tmp_path)).collect())
+    want = Counter()
+    for i, text in rows:
+        spans = pii.fixed(text or "")
+        line = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        want[(i, *(sum(kind == k for _, kind, _ in spans) for k in range(4)), hashlib.sha256(line.encode()).hexdigest())] += 1
+    assert got == want and sum(n for _, n, *_ in want) == 4
+
+
 def test_personal_data_in_unchanging_surroundings(spark):
     line = "a b c d e f g h zork mail bob@x.org or call q r s t u v w x"  # the same eight words on each side
     rows = [(i, f"{w} letter {line} {w}") for i, w in enumerate(WORDS)]
