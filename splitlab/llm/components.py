@@ -23,20 +23,25 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every node either has one link, to a smaller node, or is only linked to: further steps change nothing."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("up"), (F.col("a") < F.col("b")).alias("wrong"))
+    ends = ends.union(links.select("b", F.lit(0), F.lit(False)))
+    counted = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"), F.max("wrong").alias("wrong"))
+    return not counted.where("wrong or up > 1 or (up = 1 and n > 1)").limit(1).count()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b), the root being the component's least node.
 
-    Large-star and small-star steps alternate until the links stay the same; each round is
+    Large-star and small-star steps alternate until the links are stars; each round is
     checkpointed, no row goes to the driver. A hot node is met by partial minima and by joins
     that adaptive execution can split. An empty table of links gives an empty result.
     """
     now = checkpointed(links.select("a", "b").where("a <> b").distinct())
-    state = None
     while True:
         now = checkpointed(_star(_star(now, True), False))
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == state:
+        if _stars(now):
             break
-        state = seen
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -43,6 +43,8 @@ LIST_PART = 64
 FRAGMENTS = 4
 # Rounds of leaders at most; they only save comparisons, the pairs between components come after them in any case.
 ROUNDS = 2
+# No rounds where the mixed lists hold at most so many pairs between components: all of them are met at once.
+FEW_PAIRS = 50_000
 # Bits of a sketch at most.
 SKETCH = 16
 # Folds that may be broadcast: 16 MB.
@@ -249,6 +251,13 @@ def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(entries.join(mixed, "key", "left_semi"))
 
 
+def _few_pairs(mixed: DataFrame) -> bool:
+    """Whether lists hold at most FEW_PAIRS pairs of members in different components; the pairs are counted, not made."""
+    members = mixed.groupBy("key", "root").agg(F.count("*").cast("double").alias("c"))
+    pairs = members.groupBy("key").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("p"))
+    return (pairs.agg(F.sum("p")).first()[0] or 0) <= FEW_PAIRS
+
+
 def _folded(sets: DataFrame) -> DataFrame:
     one_set = F.min("set") == F.max("set")  # an id with several texts has no fold
     return sets.groupBy("doc_id").agg(F.max("n").alias("n"), *(F.when(one_set, F.min(f)).alias(f) for f in FOLDS))
@@ -281,11 +290,11 @@ def _led(lists: DataFrame, roots: DataFrame, folds: DataFrame, turn: int) -> Dat
     return met.where(PARITY_BOUND).select("a", "b")
 
 
-def _between(lists: DataFrame, roots: DataFrame, folds: DataFrame) -> DataFrame:
-    """Pairs of documents in different components that meet in a list and pass the bounds."""
+def _between(mixed: DataFrame, folds: DataFrame) -> DataFrame:
+    """Pairs of documents in different components that meet in a mixed list and pass the bounds."""
     # Sizes of a link are within a factor of 5/4, so its bands are the same or neighbours.
     band = F.floor(F.log(1.25, "n") + 1e-9).cast("int")
-    entries = _mixed(lists, roots).withColumn("band", band)
+    entries = mixed.withColumn("band", band)
     blocks = entries.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
     blocks = broadcast_if_few(checkpointed(blocks))
     known = folds.drop("n").join(entries.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -342,11 +351,16 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     links = _links(pairs, named, common, unique).union(equal)
     roots = checkpointed(components(links))
     folds = stored(_folded(sets))
-    lists = _mixed(lists, roots).drop("root")
+    mixed = _mixed(lists, roots)
+    rounds = 0 if _few_pairs(mixed) else ROUNDS
+    lists = mixed.drop("root")
     done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    for turn in range(ROUNDS + 1):
-        last = turn == ROUNDS
-        met = _between(lists, roots, folds) if last else _led(lists, roots, folds, turn)
+    for turn in range(rounds + 1):
+        last = turn == rounds
+        if last:
+            met = _between(_mixed(lists, roots) if rounds else mixed, folds)
+        else:
+            met = _led(lists, roots, folds, turn)
         more = checkpointed(met.join(done, ["a", "b"], "left_anti"))
         if not more.limit(1).count():
             if last:

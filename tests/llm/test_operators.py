@@ -296,6 +296,27 @@ def test_personal_data(spark, odd, empty):
     assert pii.find(odd).count() == len(ROWS) and pii.find(empty).count() == 0
 
 
+def test_components_and_leader_rounds_stop_early(spark, monkeypatch):
+    from splitlab.llm import components as c
+
+    steps, star = [], c._star
+    monkeypatch.setattr(c, "_star", lambda links, large: steps.append(large) or star(links, large))
+    links = spark.createDataFrame([(2, 1), (3, 1), (4, 1), (9, 8), (8, 8), (9, 8)], "a bigint, b bigint")
+    assert sorted(map(tuple, components(links).collect())) == [(1, 1), (2, 1), (3, 1), (4, 1), (8, 8), (9, 8)] and len(steps) == 2
+    chain = spark.createDataFrame([(k + 1, k) for k in range(20)] + [(30, 31), (32, 31)], "a bigint, b bigint")
+    assert dict(map(tuple, components(chain).collect())) == dict.fromkeys(range(21), 0) | {30: 30, 31: 30, 32: 30}
+
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*base, *(f"x{i}_{k}" for k in range(4 * i))])) for i in range(12)] + [(50, " ".join(base)), (51, None), (None, " ".join(base))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = components_of([r for r in rows if r[0] is not None])
+    monkeypatch.setattr(c, "_star", star)
+    for name, value in (("FEW_PAIRS", -1), ("_led", None)):  # with rounds, and without: few pairs are left
+        with monkeypatch.context() as patch:
+            patch.setattr(jaccard, name, value)
+            assert {r[0]: (r[1], r[2]) for r in jaccard.similar(docs).where("doc_id is not null").collect()} == want
+
+
 def test_personal_data_counts_by_kind(spark, tmp_path):
     rows = [(1, "a@b.co 1.2.3.4 c@d.org"), (2, "4111 1111 1111 1111 and +49 (30) 1234567"), (3, "1.2.3.4 1.2.3.5 1.2.3.6 1.2.3.7"), (4, None), (None, "a@b.co"), (1, "x@y.z")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
