@@ -10,7 +10,8 @@ Links are wanted for components, so a list is not expanded into pairs. First eve
 compared with one leader of its lists, the set with the list's shingle earliest; equal sets need
 no comparison. Then come rounds: lists whose members still lie in different components name
 leaders anew, one for the members whose sets have a like sketch, and members outside their leader's
-component are compared with it, so a round costs at most one comparison an entry and components merge from many sides. What rounds leave over are
+component are compared with it, so a round costs at most one comparison an entry and components merge from many sides.
+Where few pairs are left there are no rounds. What rounds leave over are
 lists of sets that are alike and yet not linked. Only these give all pairs between components that
 have not been compared and pass the length, position and parity bounds, one document for each
 set: no link is missed, and a group of k linked copies costs about k comparisons a round. The pairs of a list meet by bands of
