@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from splitlab.llm.common import (
-    BUCKETS_PER_TASK, SIX, U, Words, broadcast_if_few, checkpointed, dealt, from_six_bytes, groups, list_column, mix, near_ids, packed, packed_schema,
+    BUCKETS_PER_TASK, SIX, U, Words, broadcast_if_few, dealt, from_six_bytes, groups, list_column, mix, near_ids, packed, packed_schema,
     pieces, six_bytes, slices, small_batches, stored, unpacked, unpacked_docs, with_base,
 )
 from splitlab.llm.components import components
@@ -228,7 +228,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, common, unique: bool) -> DataF
 
 def _links(pairs: DataFrame, docs: DataFrame, common, unique: bool) -> DataFrame:
     """Pairs (a, b) whose partial overlaps, counted fragment by fragment, sum to a link."""
-    wanted = checkpointed(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     segments = _segments(docs, wanted, common, unique)
     one = segments.select(F.col("doc_id").alias("b"), "fragment", F.col("keys").alias("of_b"))
     two = segments.select(F.col("doc_id").alias("a"), "fragment", F.col("keys").alias("of_a"))
@@ -236,7 +236,7 @@ def _links(pairs: DataFrame, docs: DataFrame, common, unique: bool) -> DataFrame
         "a", "b", F.size(F.array_intersect("of_a", "of_b")).alias("common"), F.size("of_a").alias("n_a"), F.size("of_b").alias("n_b")
     )
     summed = parts.groupBy("a", "b").agg(*(F.sum(c).alias(c) for c in ("common", "n_a", "n_b")))
-    return checkpointed(summed.where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b"))
+    return stored(summed.where("100 * common >= 80 * (n_a + n_b - common)").select("a", "b"))
 
 
 def _rooted(lists: DataFrame, roots: DataFrame) -> DataFrame:
@@ -254,7 +254,7 @@ def _mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _few_pairs(mixed: DataFrame) -> bool:
     """Whether lists hold at most FEW_PAIRS pairs of members in different components; the pairs are counted, not made."""
-    members = mixed.groupBy("key", "root").agg(F.count("*").cast("double").alias("c"))
+    members = mixed.repartition("key").groupBy("key", "root").agg(F.count("*").cast("double").alias("c"))
     pairs = members.groupBy("key").agg(((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("p"))
     return (pairs.agg(F.sum("p")).first()[0] or 0) <= FEW_PAIRS
 
@@ -297,9 +297,9 @@ def _between(mixed: DataFrame, folds: DataFrame) -> DataFrame:
     band = F.floor(F.log(1.25, "n") + 1e-9).cast("int")
     entries = mixed.withColumn("band", band)
     blocks = entries.groupBy("key", "band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("blocks > 1")
-    blocks = broadcast_if_few(checkpointed(blocks))
+    blocks = broadcast_if_few(stored(blocks))
     known = folds.drop("n").join(entries.select("doc_id").distinct(), "doc_id", "left_semi")
-    full = entries.join(broadcast_if_few(checkpointed(known), FOLDS_SENT), "doc_id")
+    full = entries.join(broadcast_if_few(stored(known), FOLDS_SENT), "doc_id")
     own = full.join(blocks, ["key", "band"], "left").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.coalesce("blocks", F.lit(1))).cast("int"))
     folds_of = {side: [F.col(f).alias(f"{f}_{side}") for f in FOLDS] for side in "ab"}
     # A member comes to all blocks of its own band and of the next one, where smaller bands wait for larger ones.
@@ -318,10 +318,10 @@ def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
 
     between = links.join(root_of("a"), "a", "left").join(root_of("b"), "b", "left")
     between = between.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
-    more = checkpointed(components(between)).withColumnsRenamed({"node": "old", "root": "new"})
+    more = stored(components(between)).withColumnsRenamed({"node": "old", "root": "new"})
     moved = roots.join(broadcast_if_few(more), F.col("root") == F.col("old"), "left").select("node", F.coalesce("new", "root").alias("root"))
     fresh = more.join(roots, F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
-    return checkpointed(moved.union(fresh))
+    return stored(moved.union(fresh))
 
 
 def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -338,19 +338,19 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
     source = docs.select(F.col(f"`{id}`").cast("bigint").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     n_tasks = slices(source)
     common = spark.sparkContext.broadcast(_common(source, n_tasks))
-    facts = checkpointed(_facts(source))
+    facts = stored(_facts(source))
     sets = facts.where("doc_id is not null and n > 0")
     firsts = sets.groupBy("set").agg(F.min("doc_id").alias("b"))
-    equal = checkpointed(sets.join(firsts, "set").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"))
+    equal = stored(sets.join(firsts, "set").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"))
     # One document stands for each set.
-    named = source.where("doc_id is not null").join(broadcast_if_few(equal.select(F.col("a").alias("doc_id")).distinct()), "doc_id", "left_anti")
+    named = source.where("doc_id is not null").join(broadcast_if_few(equal.select(F.col("a").alias("doc_id"))), "doc_id", "left_anti")
     lists = stored(_lists(named, common, n_tasks))
     bound = BOUNDS.replace("n_a", "n").replace("n_b", "leader_n").replace("place_a", "place").replace("place_b", "leader_place")
     met = lists.where("doc_id <> leader").where(bound).groupBy("doc_id", "leader").agg(F.count("*").alias("c"))
-    pairs = checkpointed(met.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("a")))
-    unique = not named.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    pairs = stored(met.groupBy(F.col("doc_id").alias("b")).agg(F.max_by("leader", F.struct("c", F.negative("leader"))).alias("a")))
+    unique = facts.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
     links = _links(pairs, named, common, unique).union(equal)
-    roots = checkpointed(components(links))
+    roots = stored(components(links))
     folds = stored(_folded(sets))
     mixed = _mixed(lists, roots)
     rounds = 0 if _few_pairs(mixed) else ROUNDS
@@ -362,13 +362,13 @@ def similar(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFram
             met = _between(_mixed(lists, roots) if rounds else mixed, folds)
         else:
             met = _led(lists, roots, folds, turn)
-        more = checkpointed(met.join(done, ["a", "b"], "left_anti"))
-        if not more.limit(1).count():
+        more = stored(met.join(done, ["a", "b"], "left_anti"))
+        if more.isEmpty():
             if last:
                 break
             continue
         links = _links(more, named, common, unique)
-        if links.limit(1).count():
+        if not links.isEmpty():
             roots = _merged(roots, links)
         done = done.union(more)
     rooted = roots.select(F.col("node").alias("doc_id"), "root")

@@ -317,6 +317,40 @@ def test_components_and_leader_rounds_stop_early(spark, monkeypatch):
             assert {r[0]: (r[1], r[2]) for r in jaccard.similar(docs).where("doc_id is not null").collect()} == want
 
 
+def test_shingle_join_and_components_leave_few_tasks(spark):
+    """Small tables in between are read in few tasks, whatever number of partitions wrote them, and nothing is computed twice."""
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*base, *(f"x{i}_{k}" for k in range(4 * i))])) for i in range(12)] + [(50, " ".join(base)), (51, None), (None, " ".join(base))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    links = spark.createDataFrame([(k + 1, k) for k in range(20)] + [(3, 1), (4, 1), (30, 31), (32, 31)], "a bigint, b bigint")
+    context, names = spark.sparkContext, {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+
+    def counted(name, run):
+        context.setJobGroup(name, name)
+        try:
+            rows = run().collect()
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        tracker = context.statusTracker()
+        jobs = tracker.getJobIdsForGroup(name)
+        stages = {s for j in jobs for s in tracker.getJobInfo(j).stageIds}
+        return rows, len(jobs), sum(info.numCompletedTasks for info in map(tracker.getStageInfo, stages) if info)
+
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        found, _, tasks = counted("stars", lambda: components(links))
+        assert dict(map(tuple, found)) == dict.fromkeys(range(21), 0) | {30: 30, 31: 30, 32: 30}
+        assert tasks < 2200
+        found, jobs, tasks = counted("shingles", lambda: jaccard.similar(docs).where("doc_id is not null"))
+        assert {r[0]: (r[1], r[2]) for r in found} == components_of([r for r in rows if r[0] is not None])
+        assert jobs < 85 and tasks < 2000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_personal_data_counts_by_kind(spark, tmp_path):
     rows = [(1, "a@b.co 1.2.3.4 c@d.org"), (2, "4111 1111 1111 1111 and +49 (30) 1234567"), (3, "1.2.3.4 1.2.3.5 1.2.3.6 1.2.3.7"), (4, None), (None, "a@b.co"), (1, "x@y.z")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
