@@ -137,7 +137,7 @@ def encode(docs: DataFrame, vocabulary_path: str, text: str = "text", keep_ids:
     small_batches(docs.sparkSession)
     with open(vocabulary_path, encoding="utf-8") as f:
         content = f.read()
-    shared = share(docs.sparkSession, content)
+    shared = share(docs.sparkSession, content, "bpe")
     new = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])]
     kept = [c for c in docs.columns if c != text and c not in new]
     source = docs.select(*(f"`{c}`" for c in kept), F.coalesce(f"`{text}`", F.lit("")).alias("text") if text in docs.columns else F.lit("").alias("text"))

@@ -243,7 +243,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text") ->
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     out = docs.select(*(f"`{c}`" for c in kept), F.array().cast(f"array<{HIT}>").alias("hits"))
     for index in indexes(benchmark):
-        shared = share(spark, index)
+        shared = share(spark, index, "decontaminate")
         names = [f.split(":")[0] for f in HIT[7:-1].split(",")]
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, names=names) -> Iterator[pa.RecordBatch]:

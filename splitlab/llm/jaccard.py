@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from splitlab.llm.common import (
     BUCKETS_PER_TASK, SIX, U, Words, broadcast_if_few, dealt, from_six_bytes, groups, list_column, mix, near_ids, packed, packed_schema,
-    pieces, six_bytes, slices, small_batches, stored, unpacked, unpacked_docs, with_base,
+    pieces, process_cache, six_bytes, slices, small_batches, stored, unpacked, unpacked_docs, with_base,
 )
 from splitlab.llm.components import components
 
@@ -78,6 +78,7 @@ class Sets:
     """Sorted keys (order class and hash) of each row's distinct shingles, of a column of texts."""
 
     def __init__(self, column: pa.Array, common: tuple[np.ndarray, np.ndarray] | None = None):
+        process_cache("jaccard")  # nothing is remembered here, nor of the operators before
         shingles, begins, ends = Words(column).shingles()
         keys = shingles >> U(6)
         if common is not None and len(common[0]):

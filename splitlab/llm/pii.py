@@ -185,7 +185,7 @@ def find(docs: DataFrame, text: str = "text", words: DataFrame | None = None) ->
             yield np.array([w for w, _ in part], np.int64), np.array([s for _, s in part])
 
     for known in passes():
-        shared = share(spark, known)
+        shared = share(spark, known, "pii")
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             told, shares = shared()

@@ -34,15 +34,14 @@ class Model:
 def _packers(model: Model):
     cache = process_cache("quality")
     key = zlib.crc32(model.good), zlib.crc32(model.bad), model.level
-    if key not in cache:
-        cache.clear()
+    if cache.get("packers", ("",))[0] != key:
         made = []
         for content in (model.good, model.bad):
             data = zstandard.ZstdCompressionDict(content)
             data.precompute_compress(level=model.level)
             made.append(zstandard.ZstdCompressor(level=model.level, dict_data=data, write_content_size=False, write_dict_id=False))
-        cache[key] = made
-    return cache[key]
+        cache["packers"] = key, made
+    return cache["packers"][1]
 
 
 def features(model: Model, text: bytes) -> list[float]:
@@ -140,7 +139,7 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", score_column:
     through unchanged, a column already named like the score is replaced. An empty table stays empty.
     """
     small_batches(docs.sparkSession)
-    shared = share(docs.sparkSession, model)
+    shared = share(docs.sparkSession, model, "quality")
     kept = [c for c in docs.columns if c != score_column]
     source = docs.select(*(f"`{c}`" for c in kept), F.coalesce(f"`{text}`", F.lit("")).alias("__text"))
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)

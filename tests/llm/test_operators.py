@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tracemalloc
+import weakref
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -12,7 +14,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from splitlab.llm import bpe, decontaminate, html, jaccard, pii, quality, secrets, suffix, vptree, windows
+from splitlab.llm import bpe, common, decontaminate, html, jaccard, pii, quality, secrets, suffix, vptree, windows
 from splitlab.llm import queries as q
 from splitlab.llm.components import components
 
@@ -468,3 +470,41 @@ def test_long_token_is_tested_whole(spark):
     rows = spark.createDataFrame([(1, f"x {token} y"), (2, "z" * 200_000)], "doc_id bigint, text string")
     got = {r.doc_id: [tuple(s) for s in r.secrets] for r in secrets.scan(rows).collect()}
     assert got == {1: [(2, 3, 200_002)], 2: []}
+
+
+def test_a_worker_forgets_what_the_operator_before_remembered(spark):
+    """Workers outlive stages; what one operator keeps must not lie beside the work of the next ones (round 3: executors over 3000 MB)."""
+    content = Path(q.vocabulary_path()).read_text(encoding="utf-8")
+    common.process_cache("bpe")["v"] = bpe.Vocabulary(content)
+    kept = weakref.ref(common.process_cache("bpe")["v"])
+    first, second = common.share(spark, ["one"], "quality"), common.share(spark, ["two"], "quality")
+    assert first() == ["one"] and first() is first() and kept() is None
+    assert second() == ["two"] and list(common.process_cache("quality")) == ["shared"]
+    jaccard.Sets(pa.array(["a b c d e f"]))
+    assert not common.process_cache("jaccard") and not common.process_cache("quality")
+
+
+def test_word_hashes_do_not_depend_on_the_blocks_and_take_little_memory(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [" ".join("Ab" * int(k) + str(j) for k, j in zip(rng.integers(1, 9, 400), rng.integers(0, 50, 400))) for _ in range(20)]
+    rows += [None, "", " \n", "x", "y" * 5000, "one " + "Zz" * 3000 + " two", "é🙂 Ünïcode"]
+    whole = common.Words(pa.array(rows))
+    monkeypatch.setattr(common, "HASHED_BYTES", 64)
+    cut = common.Words(pa.array(rows))
+    assert (whole.hashes == cut.hashes).all()
+    base, up = int(common._BASE), [1]
+    for words, (a, b) in zip((r.split() if r else [] for r in rows), zip(whole.first, whole.last)):
+        assert len(words) == b - a
+        for word, found in zip(words, whole.hashes[a:b].tolist()):
+            chars = [c + 32 if 65 <= c <= 90 else c for c in word.encode()]
+            while len(up) < len(chars):
+                up.append(up[-1] * base % 2**64)
+            plain = (sum((c + 1) * p for c, p in zip(chars, up)) + len(chars)) % 2**64
+            assert int(common.mix(np.array([plain], np.uint64))[0]) == found
+    monkeypatch.undo()
+    text = pa.array([("seven letters " * 1000)[:8192]] * (common.PIECE_BYTES // 8192))
+    tracemalloc.start()
+    common.Words(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * common.PIECE_BYTES  # before, 56 times
