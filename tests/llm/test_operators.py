@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import cProfile
 import hashlib
 import re
 import tracemalloc
@@ -164,6 +165,79 @@ def test_compact_windows_hold_every_minimum():
             assert [tuple(w) for w in found if w[0] <= x <= w[1] <= y <= w[2]][0][1] == c
 
 
+def calls_of(f, *args):
+    """The result of f, and how many calls it made."""
+    profile = cProfile.Profile()
+    return profile.runcall(f, *args), sum(entry.callcount for entry in profile.getstats())
+
+
+def test_windows_of_many_rows_take_no_calls_by_row():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, (3, 30, 10**6)[k % 3], int(rng.integers(0, 140)))) for k in range(1000)] + [None, "", "a " * 300]
+    (keys, rows, found), calls = calls_of(windows._windows, pa.array(texts))
+    assert calls < 6 * len(texts)
+    want = defaultdict(list)
+    for i, text in enumerate(texts):
+        shingles = common.Words(pa.array([text], pa.string())).shingles()[0]
+        for j in range(windows.HASHES):
+            values = (common.mix(shingles ^ common.U(0x9E3779B97F4A7C15 * (j + 1) & (1 << 64) - 1)) | common.U(1)).tolist()
+            for c, least in enumerate(values):
+                left, right = c, c
+                while left and values[left - 1] > least:
+                    left -= 1
+                while right + 1 < len(values) and values[right + 1] >= least:
+                    right += 1
+                if right - left + 1 >= windows.SHORTEST:
+                    want[i].append((least, left, c, right))
+    got = defaultdict(list)
+    for key, row, window in zip(keys.tolist(), rows.tolist(), found.tolist()):
+        got[row].append((key, *window))
+    assert {i: sorted(x) for i, x in got.items()} == {i: sorted(x) for i, x in want.items()}
+
+
+def test_stretches_of_many_pairs_equal_a_sweep_of_each():
+    rng = np.random.default_rng(4)
+    names, pairs = ("key", "al", "ac", "ar", "bl", "bc", "br"), np.sort(rng.integers(0, 600, 5000))
+    ac, bc = rng.integers(0, 900, (2, len(pairs)))
+    bc = np.where(rng.random(len(pairs)) < 0.7, ac + rng.integers(0, 90, len(pairs)), bc)
+    low, high = rng.integers(0, 50, (2, 2, len(pairs)))
+    values = (rng.integers(-5, 5, len(pairs)), np.maximum(ac - low[0], 0), ac, ac + high[0], np.maximum(bc - low[1], 0), bc, bc + high[1])
+    (which, edges), calls = calls_of(windows._stretches, pairs, dict(zip(names, values)))
+    assert calls < 300
+    want = []
+    for pair in np.unique(pairs):
+        rest = sorted((x[5] - x[2], *x) for x in zip(*(v[pairs == pair].tolist() for v in values)))
+        groups = [[rest[0]]]
+        for x, y in zip(rest, rest[1:]):
+            groups += [[y]] if y[0] - x[0] > windows.DRIFT else []
+            groups[-1] += [] if groups[-1][-1] is y else [y]
+        for group in groups:
+            runs = []
+            for x in sorted(group, key=lambda x: x[5]):
+                if runs and x[5] <= max(y[7] for y in runs[-1]):
+                    runs[-1].append(x)
+                else:
+                    runs.append([x])
+            for run in runs:
+                _, key, al, _, ar, bl, _, br = zip(*run)
+                if len(set(key)) >= windows.ENOUGH:
+                    want.append((pair, min(al), max(ar), min(bl), max(br)))
+    assert len(want) > 50 and [(i, *x) for i, x in zip(which.tolist(), edges.tolist())] == want
+
+
+def test_verified_passages_with_and_without_repeated_shingles():
+    rng = np.random.default_rng(6)
+    for kinds in (1 << 62, 60):  # all shingles differ, many come twice
+        a = rng.integers(0, kinds, 300, np.uint64)
+        b = np.r_[rng.integers(0, kinds, 30, np.uint64), a[100:250], rng.integers(0, kinds, 40, np.uint64)]
+        b[[60, 61, 110]] = rng.integers(1 << 62, 1 << 63, 3, np.uint64)
+        found = windows._verified(a, b, 1000, 2000)
+        for u, v, x, y, alike in found:
+            of_a, of_b = set(a[u - 1000 : v - 1000 - 4].tolist()), set(b[x - 2000 : y - 2000 - 4].tolist())
+            assert alike == len(of_a & of_b) / len(of_a | of_b) >= windows.SIMILAR
+        assert any(x <= 2030 and y >= 2180 for _, _, x, y, _ in found)
+
+
 def test_windows_of_a_passage_that_many_documents_share(spark, monkeypatch):
     """Several rows of requests for one document; words of several bytes, odd white space, whole copies counted in words."""
     monkeypatch.setattr(windows, "ASKED", 8)
